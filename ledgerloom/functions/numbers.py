@@ -78,3 +78,45 @@ def times_ten_to(value: Column, exponent: Column) -> Column:
     """Decimal `value` times ten to an exponent of -9..9, exact in decimal(38,6)."""
     factor = F.pow(F.lit(10.0), exponent).cast("decimal(20,9)")
     return (value.cast("decimal(26,6)") * factor).cast(MONEY)
+
+
+def cell(c: Column, scanned: bool = False) -> Column:
+    """struct(kind, value): kind is number, x (not applicable), empty or error; only numbers have a value.
+
+    Dots group three digits each, the last comma is the decimal mark. Two
+    amounts in one cell, wrong groups and other text are errors, never nil; a
+    lone dash is empty. `scanned` also reads what scanners make of digits and
+    marks: letters like digits, a dot or comma before one or two last digits as
+    decimal mark, either mark between groups of three.
+    """
+    two = c.rlike(r"^\s*\d[\d.]*,\d{2}\s+\d[\d.]*,\d{2}\s*$")
+    text = F.regexp_replace(F.coalesce(c, F.lit("")), SPACES, "")
+    x = F.upper(text) == "X"
+    if scanned:
+        x = x | F.lower(F.regexp_replace(text, r"[^0-9a-zA-Z×]", "")).isin("x", "xx", "1x", "x1", "ix", "lx", "xi", "×")
+        digits = F.translate(F.regexp_replace(text, r"(?<=\d)[:;](?=\d)", "."), "OoPpIlSsGB", "0000115568")
+        tail = F.regexp_replace(F.regexp_replace(digits, r"([.,]\d?)[Cc(]$", "$10"), r"([.,])[Cc(](\d)$", "$10$2")
+        text = F.when(tail.rlike(r"^[\d.,()\-−–—]+$"), tail).otherwise(text)
+    empty = (text == "") | text.isin(*DASHES) | (F.lit(scanned) & (text == "?"))
+    negative = text.rlike(r"^[-−–—]") | text.rlike(r"^\(.*\)$")
+    body = F.regexp_replace(text, r"^[-−–—]|^\((?=.*\)$)|(?<=^\(.{1,60})\)$", "")
+    strict = F.when(body.rlike(r"^\d+(,\d+)?$|^\d+(\.\d{3})+(,\d+)?$"), F.regexp_replace(F.regexp_replace(body, r"\.", ""), ",", "."))
+    plain = strict
+    if scanned:
+        grouped = F.when(body.rlike(r"^\d{1,3}([.,]\d{3})+$"), F.regexp_replace(body, "[.,]", ""))
+        decimal = F.when(body.rlike(r"^(\d+|\d{1,3}([.,]\d{3})+)[.,]\d{1,2}$"), F.concat(F.regexp_replace(F.regexp_extract(body, r"^(.*)[.,]\d{1,2}$", 1), "[.,]", ""), F.lit("."), F.regexp_extract(body, r"[.,](\d{1,2})$", 1)))
+        plain = F.coalesce(grouped, decimal, strict)
+    value = plain.try_cast(MONEY)
+    number = F.when(negative, -value).otherwise(value)
+    kind = F.when(two, "error").when(empty, "empty").when(x, "x").when(number.isNull(), "error").otherwise("number")
+    return F.struct(kind.alias("kind"), F.when(kind == "number", number).alias("value"))
+
+
+def romanian_text(value: Column, decimals: int = 2) -> Column:
+    """A number as printed: 1.234.567,89, half to even."""
+    return F.translate(F.format_number(F.bround(value, decimals), decimals), ",.", ".,")
+
+
+def canonical_text(value: Column) -> Column:
+    """A number's shortest text: no trailing zeros, no trailing point."""
+    return F.regexp_replace(F.regexp_replace(value.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
