@@ -132,7 +132,9 @@ def _align():
                 i += 1
             else:
                 j += 1
-        return pd.DataFrame({"key": [key[0]] * len(pairs), "left_at": [s for s, _, _ in pairs], "right_at": [t for _, t, _ in pairs], "label": [u for _, _, u in pairs]})
+        told = pd.DataFrame(pairs, columns=["left_at", "right_at", "label"])
+        told.insert(0, "key", key[0])
+        return told
 
     return run
 

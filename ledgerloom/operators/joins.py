@@ -76,14 +76,14 @@ def nearest_center(points: DataFrame, at: str, centers: DataFrame, center: str,
 def one_to_one(expected: DataFrame, predicted: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Matches equal keys one to one: the k-th row here with the k-th there; leftovers on both sides stay.
 
-    Returns keys, k, expected, predicted (both boolean). Exact for any predicate
+    Returns keys, nth, expected, predicted (both boolean). Exact for any predicate
     that is an equivalence; nothing is matched twice.
     """
 
     def numbered(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*keys, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long").alias("k"), F.lit(True).alias(side))
+        return df.select(*keys, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long").alias("nth"), F.lit(True).alias(side))
 
-    both = numbered(expected, "expected").join(numbered(predicted, "predicted"), [*keys, "k"], "full_outer")
+    both = numbered(expected, "expected").join(numbered(predicted, "predicted"), [*keys, "nth"], "full_outer")
     return both.na.fill(False, ["expected", "predicted"])
 
 
