@@ -199,6 +199,7 @@ def ordinary(text: str | None) -> str | None:
             context[s] = context.get(s, 0) + 1
         if not anchors and scripts == frozenset({"LATIN"}):
             context["LATIN"] = context.get("LATIN", 0) + 1
+    turkish = bool(TURKISH & set(text))
     out = []
     for p in parts:
         script = _script(p, context)
@@ -206,7 +207,7 @@ def ordinary(text: str | None) -> str | None:
             p = respelled(p, script)
         if script == "LATIN":
             p = "".join(LATIN_DOUBLES.get(c, c) for c in p)
-            if not TURKISH & set(p):
+            if not turkish:
                 p = "".join(CEDILLA.get(c, c) for c in p)
             p = _inner_capital(p)
         out.append(p)
@@ -264,6 +265,7 @@ def spelled_otherwise(rows: DataFrame) -> DataFrame:
     sources' words. Null and empty names are never told; repeated rows are each
     told; further columns are ignored.
     """
-    forms = consistent_forms(rows.select("name"))
+    told = rows.select("source_table", "row_key", "name")
+    forms = consistent_forms(told.select("name"))
     other = forms.where(F.col("name") != F.col("form"))
-    return rows.join(other, "name").select("source_table", "row_key", "name", "form")
+    return told.join(other, "name").select("source_table", "row_key", "name", "form")

@@ -9,6 +9,8 @@ from ledgerloom.functions.numbers import DASHES, SPACES
 from ledgerloom.session import cut
 
 NUMBER = "decimal(38,12)"
+#: Share of wrong readings of one cell that are the same wrong number; hard digits mislead alike.
+COINCIDENCE = 0.45
 
 
 def reading_number(text):
@@ -58,51 +60,53 @@ def chance_of(votes: DataFrame) -> DataFrame:
     return votes.groupBy("num").agg(F.count(F.lit(1)).cast("double").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")) / F.pow(F.sum("n"), 2), F.lit(0.0)).alias("chance"))
 
 
-def leading_vector(matrix: DataFrame, steps: int = 4, tolerance: float = 1e-4, most: int = 60) -> DataFrame:
-    """(annotator, reliability, overlaps) by power iteration.
+def leading_vector(matrix: DataFrame, coincidence: float = COINCIDENCE, steps: int = 4, tolerance: float = 1e-4, most: int = 80) -> DataFrame:
+    """(annotator, reliability, overlaps): the leading eigenvector u by power iteration.
 
-    matrix(a, b, overlap, centred). Each row is divided by its overlap count, so
-    an annotator of many shared cells isn't taken for a good one. One iteration
-    is a join of the matrix with the vector and an aggregation; `steps` of them
-    go between two checkpoints. Scaled by the leading value, the vector is each
-    annotator's chance-corrected share of right readings, if errors are
-    independent.
+    matrix(a, b, overlap, centred). Of the agreement of a and b the chance
+    that both err alike, `coincidence` * (1 - u_a)(1 - u_b), is taken off, too.
+    An annotator's agreement with itself isn't known, nor do all pairs share as
+    many cells; so in the eigenvector's equation both sides are summed over the
+    pairs there are, weighted by their overlap:
+    u_a = sum(overlap * centred * u_b) / sum(overlap * u_b^2). With equal
+    overlaps this is the eigenvector of the matrix with the diagonal u_a^2. One
+    iteration is two joins of the sparse matrix with the vector and an
+    aggregation, damped by the geometric mean; `steps` go between two
+    checkpoints. u is the share of right readings.
     """
     matrix = cut(matrix.select("a", "b", F.col("overlap").cast("double").alias("overlap"), "centred"))
-    degree = cut(matrix.groupBy("a").agg(F.sum("overlap").alias("overlaps")))
-    vector = degree.select(F.col("a").alias("node"), F.lit(1.0).alias("u"), "overlaps")
+    degree = matrix.groupBy("a").agg(F.sum("overlap").alias("overlaps"))
+    vector = cut(degree.select(F.col("a").alias("node"), F.lit(0.9).alias("u"), "overlaps"))
 
     def turn(v: DataFrame) -> DataFrame:
-        moved = matrix.join(v.select(F.col("node").alias("b"), "u"), "b").groupBy("a").agg(F.sum(F.col("overlap") * F.col("centred") * F.col("u")).alias("y"))
-        return moved.join(degree, "a").select(F.col("a").alias("node"), (F.greatest(F.col("y") / F.col("overlaps"), F.lit(1e-9))).alias("u"), "overlaps")
-
-    def scaled(v: DataFrame) -> DataFrame:
-        norm = v.agg(F.sqrt(F.sum(F.col("overlaps") * F.col("u") * F.col("u")) / F.sum("overlaps")).alias("norm"))
-        return v.join(F.broadcast(norm)).select("node", (F.col("u") / F.col("norm")).alias("u"), "overlaps")
+        near = v.select(F.col("node").alias("a"), F.col("u").alias("ua"), "overlaps")
+        far = v.select(F.col("node").alias("b"), F.col("u").alias("ub"))
+        alike = coincidence * (1 - F.col("ua")) * (1 - F.col("ub"))
+        up, down = F.sum(F.col("overlap") * (F.col("centred") - alike) * F.col("ub")), F.sum(F.col("overlap") * F.col("ub") * F.col("ub"))
+        moved = matrix.join(far, "b").join(near, "a").groupBy("a").agg(F.max("ua").alias("ua"), F.max("overlaps").alias("overlaps"), (up / down).alias("y"))
+        return moved.select(F.col("a").alias("node"), F.least(F.sqrt(F.col("ua") * F.greatest("y", F.lit(1e-3))), F.lit(0.995)).alias("u"), "overlaps")
 
     for _ in range(0, most, steps):
         new = vector
         for _ in range(steps):
             new = turn(new)
-        new = cut(scaled(new))
+        new = cut(new)
         moved = new.join(vector.select("node", F.col("u").alias("before")), "node").agg(F.max(F.abs(F.col("u") - F.col("before"))).alias("d")).first().d
         vector = new
         if moved is None or moved < tolerance:
             break
-    once = turn(vector).select("node", F.col("u").alias("y"))
-    value = vector.join(once, "node").agg((F.sum(F.col("overlaps") * F.col("u") * F.col("y")) / F.sum(F.col("overlaps") * F.col("u") * F.col("u"))).alias("value"))
-    return vector.join(F.broadcast(value)).select(F.col("node").alias("annotator"), F.least(F.greatest(F.col("u") * F.sqrt(F.greatest("value", F.lit(0.0))), F.lit(0.02)), F.lit(0.995)).alias("reliability"), F.col("overlaps").cast("long").alias("overlaps"))
+    return vector.select(F.col("node").alias("annotator"), F.greatest("u", F.lit(0.02)).alias("reliability"), F.col("overlaps").cast("long").alias("overlaps"))
 
 
-def dependent_pairs(matrix: DataFrame, reliability: DataFrame, copied: float = 0.4, deviations: float = 4.0) -> DataFrame:
+def dependent_pairs(matrix: DataFrame, reliability: DataFrame, copied: float = 0.4, deviations: float = 4.0, coincidence: float = COINCIDENCE) -> DataFrame:
     """(a, b, copied): annotators that agree far more than two independent readers of their reliability.
 
-    If b copies a share c of a's readings, they agree in c + (1 - c) r_a r_b of
-    the shared cells. Pairs with c of `copied` or more, `deviations` standard
-    deviations beyond chance, are dependent.
+    Independent readers agree in e = r_a r_b + q (1 - r_a)(1 - r_b) of the
+    shared cells, a copier of a share c in c + (1 - c) e. Pairs with c of
+    `copied` or more, `deviations` standard deviations beyond e, are dependent.
     """
     ra, rb = reliability.select(F.col("annotator").alias("a"), F.col("reliability").alias("ra")), reliability.select(F.col("annotator").alias("b"), F.col("reliability").alias("rb"))
-    e = F.col("ra") * F.col("rb")
+    e = F.col("ra") * F.col("rb") + coincidence * (1 - F.col("ra")) * (1 - F.col("rb"))
     off = matrix.join(ra, "a").join(rb, "b").withColumn("c", (F.col("centred") - e) / (1 - e)).withColumn("z", (F.col("centred") - e) * F.sqrt(F.col("overlap") / (e * (1 - e))))
     return off.where((F.col("c") >= copied) & (F.col("z") >= deviations)).select("a", "b", F.col("c").alias("copied"))
 
@@ -132,7 +136,7 @@ def reliabilities(votes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rated, cut(links)
 
 
-def decide(votes: DataFrame, rated: DataFrame, links: DataFrame, coincidence: float = 0.45, unrated: float = 0.8) -> DataFrame:
+def decide(votes: DataFrame, rated: DataFrame, links: DataFrame, coincidence: float = COINCIDENCE, unrated: float = 0.8) -> DataFrame:
     """(cell, consensus, readers, agree, agreement, margin): the number with the most weight.
 
     A vote weighs log(r / ((1 - r) q)), q the share of wrong readings of a cell

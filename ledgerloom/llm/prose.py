@@ -136,8 +136,8 @@ def line_class(line: str, copies: int) -> str:
     if len(cells) >= 3 or (hard and len(cells) >= 2):
         if sum(len(c) for c in cells) / len(cells) <= 40 and not (not hard and SENTENCE_END.search(line) and len(line) > 120):
             return "row"
-    if BULLET.match(line):
-        return "item"
+    if BULLET.match(line) and not (line.count(" ") > 12 and SENTENCE_END.search(line)):
+        return "item"  # a numbered paragraph of whole sentences is prose
     if SENTENCE_END.search(line):
         return "sentence"
     return "text"
