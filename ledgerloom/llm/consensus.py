@@ -98,7 +98,7 @@ def leading_vector(matrix: DataFrame, coincidence: float = COINCIDENCE, steps: i
     return vector.select(F.col("node").alias("annotator"), F.greatest("u", F.lit(0.02)).alias("reliability"), F.col("overlaps").cast("long").alias("overlaps"))
 
 
-def dependent_pairs(matrix: DataFrame, reliability: DataFrame, copied: float = 0.4, deviations: float = 4.0, coincidence: float = COINCIDENCE) -> DataFrame:
+def dependent_pairs(matrix: DataFrame, reliability: DataFrame, copied: float, deviations: float = 4.0, coincidence: float = COINCIDENCE) -> DataFrame:
     """(a, b, copied): annotators that agree far more than two independent readers of their reliability.
 
     Independent readers agree in e = r_a r_b + q (1 - r_a)(1 - r_b) of the
@@ -111,25 +111,26 @@ def dependent_pairs(matrix: DataFrame, reliability: DataFrame, copied: float = 0
     return off.where((F.col("c") >= copied) & (F.col("z") >= deviations)).select("a", "b", F.col("c").alias("copied"))
 
 
-def reliabilities(votes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def reliabilities(votes: DataFrame, suspect: float = 0.4, copied: float = 0.72) -> tuple[DataFrame, DataFrame]:
     """Reliability per annotator, and the dependent pairs (child, parent, copied).
 
-    The eigenvector is taken again without the pairs found dependent, until no
-    more are found (three times at most), so that copies don't vouch for their
-    original. Of a pair the one with fewer overlaps is the child.
+    Copies vouch for their original, so the eigenvector is taken three times:
+    over all pairs, without those of a copied share of `suspect` or more, and
+    without those that then still have `copied` (cells of unequal difficulty
+    make good readers agree somewhat more than independent ones, copiers much
+    more). Of a pair the one with fewer overlaps is the child.
     """
     raw = agreement_matrix(votes).join(F.broadcast(chance_of(votes)))
     matrix = cut(raw.select("a", "b", "overlap", ((F.col("agree") / F.col("overlap") - F.col("chance")) / F.greatest(1 - F.col("chance"), F.lit(1e-9))).alias("centred")))
-    kept = matrix
-    known = -1
-    for _ in range(3):
-        rated = cut(leading_vector(kept))
-        pairs = cut(dependent_pairs(matrix, rated))
-        found = pairs.count()
-        if found <= known or found == 0:
-            break
-        known = found
-        kept = matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+
+    def without(pairs: DataFrame) -> DataFrame:
+        return cut(leading_vector(matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti")))
+
+    rated = cut(leading_vector(matrix))
+    pairs = cut(dependent_pairs(matrix, rated, suspect))
+    if not pairs.isEmpty():
+        pairs = cut(dependent_pairs(matrix, without(pairs), copied))
+        rated = without(pairs)
     size = matrix.groupBy("a").agg(F.sum("overlap").alias("size"))
     told = pairs.join(size.toDF("a", "size_a"), "a").join(size.toDF("b", "size_b"), "b")
     links = told.where("size_a < size_b or (size_a = size_b and a > b)").select(F.col("a").alias("child"), F.col("b").alias("parent"), "copied")

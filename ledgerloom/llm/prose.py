@@ -129,7 +129,7 @@ def line_class(line: str, copies: int) -> str:
         return "rule"
     if copies >= 3:
         return "repeat"
-    cells = [c for c in CELL.split(line.strip().strip("|¦")) if c]
+    cells = CELL.split(line.strip().strip("|¦"))  # an empty cell is one, too
     hard = any(c in line for c in "\t|¦")
     if not hard and len(cells) >= 4 and ";" in line and sum(len(c) for c in cells) <= 40 * len(cells) and not any(any(x.isdigit() for x in c) for c in cells[1:]):
         return "item"  # entries of a running list
