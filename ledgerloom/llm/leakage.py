@@ -32,7 +32,7 @@ _BROKEN = re.compile(r"(?<=\w)[-‐‑­]\s*[\r\n]+\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ­͏​-‏‪-‮⁠-⁩︀-️﻿]")
 _TABLE = str.maketrans(LOOKALIKE | PLAIN | SCANNED)
-RESULT = "doc_id long, item_id long, covered array<int>"
+RESULT = "doc_id long, item_id long, covered array<int>, own array<int>"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -147,8 +147,8 @@ def pieces(equal: np.ndarray) -> list[tuple[int, int]]:
     return found
 
 
-def covered(words: list[str], items: Items) -> dict[int, np.ndarray]:
-    """For each item with a piece in the words: which of its words are covered, stock left out."""
+def found_pieces(words: list[str], items: Items) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(item, places, own) of each piece of an item in the words: its places in the item, and those that aren't stock."""
     ids = np.fromiter((items.vocabulary.get(w, -1) for w in words), dtype=np.int64, count=len(words))
     lanes: set[tuple[int, int]] = set()
     for mask, code, item, at in items.index:
@@ -161,7 +161,7 @@ def covered(words: list[str], items: Items) -> dict[int, np.ndarray]:
         for p, a, b in zip(places[hit].tolist(), lo[hit].tolist(), hi[hit].tolist(), strict=True):
             for k in range(a, b):
                 lanes.add((int(item[k]), p - int(at[k])))
-    out: dict[int, np.ndarray] = {}
+    out = []
     for i, shift in lanes:
         theirs = items.codes[i]
         a, b = max(0, -shift), min(len(theirs), len(words) - shift)
@@ -173,12 +173,10 @@ def covered(words: list[str], items: Items) -> dict[int, np.ndarray]:
             if (k and equal[k - 1]) or (k + 1 < len(equal) and equal[k + 1]):
                 equal[k] = near(words[a + shift + k], items.words[i][a + k])
         for s, e in pieces(equal):
-            flags = out.setdefault(i, np.zeros(len(theirs), dtype=bool))
-            flags[a + s : a + e] = True
-    for i in list(out):
-        out[i] &= ~items.stock[i]
-        if not out[i].any():
-            del out[i]
+            places = np.arange(a + s, a + e, dtype=np.int32)
+            own = places[~items.stock[i][places]]
+            if len(own):
+                out.append((i, places, own))
     return out
 
 
@@ -190,14 +188,14 @@ def _scan(rows: list[tuple[int, str | None]]):
             for doc_id, text in zip(pdf.doc_id, pdf.text, strict=True):
                 words = words_of(text)
                 if len(words) >= LEAST:
-                    out += [(doc_id, items.ids[i], np.flatnonzero(flags).astype(np.int32)) for i, flags in covered(words, items).items()]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "covered"])
+                    out += [(doc_id, items.ids[i], places, own) for i, places, own in found_pieces(words, items)]
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "covered", "own"])
 
     return scan
 
 
 def pieces_in(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, covered): the places of the item's words that lie in pieces found in the document.
+    """(doc_id, item_id, covered, own), a row per piece of an item in a document: its places in the item, and those that aren't stock.
 
     documents(doc_id, text) are read once per block of items; a block is as many
     items as have BLOCK_WORDS words, so what a worker holds is bounded, and the
@@ -229,22 +227,29 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_sh
     documents(doc_id, text), items(item_id, passage); returns (doc_id, item_id,
     words, item_words, part). Seeds are the words at fixed masks' positions, so a
     substituted word doesn't hide a passage; a hit is verified word by word along
-    its diagonal, tolerating slips. Words of stock sentences count for nothing:
+    its diagonal, tolerating slips. Stock sentences don't count by themselves:
     runs that several different items share, and places of an item that more
     than `stock_share` of all documents have (five at least) without having a
-    `share` of the item. Documents and items of null or empty text give no rows;
-    repeated documents are told each; ties don't arise; further columns are
-    ignored; items of one text are each reported.
+    `share` of the item. A piece with LEAST words beside its stock counts whole,
+    for then its words follow one another as in the item; of others only the
+    words beside stock count. Documents and items of null or empty text give no
+    rows; repeated documents are told each; ties don't arise; further columns
+    are ignored; items of one text are each reported.
     """
     lengths = items.where("item_id is not null and passage is not null").select("item_id", "passage").mapInPandas(_lengths, "item_id long, item_words int").groupBy("item_id").agg(F.max("item_words").alias("item_words"))
-    found = cut(pieces_in(documents, items).join(lengths, "item_id").groupBy("doc_id", "item_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"), F.max("item_words").alias("item_words")))
-    alone = found.where(F.size("covered") < share * F.col("item_words"))
+    told = cut(pieces_in(documents, items))
+
+    def united(rows: DataFrame) -> DataFrame:
+        counted = F.when(F.size("own") >= LEAST, F.col("covered")).otherwise(F.col("own"))
+        return rows.withColumn("counted", counted).groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("counted"))).alias("places")).join(lengths, "item_id")
+
+    alone = united(told).where(F.size("places") < share * F.col("item_words"))
     total = documents.agg(F.count(F.lit(1)).alias("docs"))
-    common = alone.select("item_id", F.explode("covered").alias("at")).groupBy("item_id", "at").count().join(F.broadcast(total)).where((F.col("count") >= 5) & (F.col("count") > stock_share * F.col("docs")))
+    common = alone.select("item_id", F.explode("places").alias("at")).groupBy("item_id", "at").count().join(F.broadcast(total)).where((F.col("count") >= 5) & (F.col("count") > stock_share * F.col("docs")))
     stock = common.groupBy("item_id").agg(F.collect_set("at").alias("stock"))
-    told = found.join(stock, "item_id", "left").withColumn("own", F.array_except("covered", F.coalesce("stock", F.array().cast("array<int>"))))
-    words = F.size("own")
-    return told.select("doc_id", "item_id", words.alias("words"), "item_words", (words / F.col("item_words")).alias("part")).where(F.col("words") >= F.ceil(share * F.col("item_words") - 1e-9))
+    bare = told.join(stock, "item_id", "left").withColumn("own", F.array_except("own", F.coalesce("stock", F.array().cast("array<int>")))).drop("stock")
+    words = F.size("places")
+    return united(bare).select("doc_id", "item_id", words.alias("words"), "item_words", (words / F.col("item_words")).alias("part")).where(F.col("words") >= F.ceil(share * F.col("item_words") - 1e-9))
 
 
 def _lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
