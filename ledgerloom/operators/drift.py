@@ -131,13 +131,16 @@ def renames(events: DataFrame, fields: DataFrame, cat: DataFrame, keys: dict[str
     told = cut(told.groupBy("feed", "seq", "key", "field").agg(F.max_by("form", "record_id").alias("form")))
     before = told.join(wanted_old, ["feed", "seq", "field"], "left_semi").select("feed", (F.col("seq") + 1).alias("seq"), "key", F.col("field").alias("old_field"), F.col("form").alias("old_form"))
     after = told.join(wanted_new, ["feed", "seq", "field"], "left_semi").select("feed", "seq", "key", F.col("field").alias("new_field"), F.col("form").alias("new_form"))
-    shared = before.join(after, ["feed", "seq", "key"]).groupBy("feed", "seq", "old_field", "new_field").agg(F.count(F.lit(1)).alias("compared"), F.sum((F.col("old_form") == F.col("new_form")).cast("long")).alias("same"))
-    scored = open_pairs.join(shared, ["feed", "seq", "old_field", "new_field"], "left").na.fill(0, ["compared", "same"])
-    scored = cut(scored.withColumn("enough", F.col("compared") >= least).withColumn("proved", F.col("enough") & (F.col("same") >= share * F.col("compared"))))
+    shared = before.join(after, ["feed", "seq", "key"]).groupBy("feed", "seq", "old_field", "new_field").agg(F.count(F.lit(1)).alias("compared"), F.sum((F.col("old_form") == F.col("new_form")).cast("long")).alias("same"), F.count_distinct("old_form").alias("forms"))
+    scored = open_pairs.join(shared, ["feed", "seq", "old_field", "new_field"], "left").na.fill(0, ["compared", "same", "forms"])
+    alike = F.col("same") >= share * F.col("compared")
+    # Of two flags some agree by chance: where there are few contents, all must be the same.
+    telling = F.when(F.col("forms") > 2, alike).otherwise(F.col("same") == F.col("compared"))
+    scored = cut(scored.withColumn("enough", F.col("compared") >= least).withColumn("proved", F.col("enough") & telling).withColumn("open", alike))
     names = [F.least("old_field", "new_field").alias("n1"), F.greatest("old_field", "new_field").alias("n2")]
-    aliases = scored.groupBy("file_kind", *names).agg(F.sum(F.col("proved").cast("int")).alias("pro"), F.sum((F.col("enough") & ~F.col("proved")).cast("int")).alias("con"))
+    aliases = scored.groupBy("file_kind", *names).agg(F.sum(F.col("proved").cast("int")).alias("pro"), F.sum((F.col("enough") & ~F.col("open")).cast("int")).alias("con"))
     judged = scored.withColumn("n1", names[0]).withColumn("n2", names[1]).join(aliases, ["file_kind", "n1", "n2"], "left")
-    likely = judged.where(F.col("proved") | (~F.col("enough") & (F.col("pro") > F.col("con"))))
+    likely = judged.where(F.col("proved") | (F.col("open") & (F.col("pro") > F.col("con"))))
     order = [F.col("proved").desc(), (F.col("same") / F.greatest("compared", F.lit(1))).desc(), F.col("pro").desc(), F.col("same").desc(), "old_field", "new_field"]
     ranked = likely.withColumn("r_old", F.row_number().over(W.partitionBy("feed", "seq", "old_field").orderBy(*order))).withColumn("r_new", F.row_number().over(W.partitionBy("feed", "seq", "new_field").orderBy(*order)))
     return ranked.where("r_old = 1 and r_new = 1").select("file_kind", "feed", "seq", "old_field", "new_field", "same", "compared")
