@@ -60,7 +60,7 @@ def chance_of(votes: DataFrame) -> DataFrame:
     return votes.groupBy("num").agg(F.count(F.lit(1)).cast("double").alias("n")).agg(F.coalesce(F.sum(F.col("n") * F.col("n")) / F.pow(F.sum("n"), 2), F.lit(0.0)).alias("chance"))
 
 
-def leading_vector(matrix: DataFrame, coincidence: float = COINCIDENCE, steps: int = 4, tolerance: float = 1e-4, most: int = 80) -> DataFrame:
+def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidence: float = COINCIDENCE, steps: int = 4, tolerance: float = 1e-4, most: int = 80) -> DataFrame:
     """(annotator, reliability, overlaps): the leading eigenvector u by power iteration.
 
     matrix(a, b, overlap, centred). Of the agreement of a and b the chance
@@ -72,11 +72,15 @@ def leading_vector(matrix: DataFrame, coincidence: float = COINCIDENCE, steps: i
     overlaps this is the eigenvector of the matrix with the diagonal u_a^2. One
     iteration is two joins of the sparse matrix with the vector and an
     aggregation, damped by the geometric mean; `steps` go between two
-    checkpoints. u is the share of right readings.
+    checkpoints. u is the share of right readings. `start` is a vector to go on
+    from (annotator, reliability), else every annotator starts alike.
     """
     matrix = cut(matrix.select("a", "b", F.col("overlap").cast("double").alias("overlap"), "centred"))
     degree = matrix.groupBy("a").agg(F.sum("overlap").alias("overlaps"))
-    vector = cut(degree.select(F.col("a").alias("node"), F.lit(0.9).alias("u"), "overlaps"))
+    vector = degree.select(F.col("a").alias("node"), F.lit(0.9).alias("u"), "overlaps")
+    if start is not None:
+        vector = degree.join(start.select(F.col("annotator").alias("a"), "reliability"), "a", "left").select(F.col("a").alias("node"), F.coalesce("reliability", F.lit(0.9)).alias("u"), "overlaps")
+    vector = cut(vector)
 
     def turn(v: DataFrame) -> DataFrame:
         near = v.select(F.col("node").alias("a"), F.col("u").alias("ua"), "overlaps")
@@ -123,14 +127,16 @@ def reliabilities(votes: DataFrame, suspect: float = 0.4, copied: float = 0.72)
     raw = agreement_matrix(votes).join(F.broadcast(chance_of(votes)))
     matrix = cut(raw.select("a", "b", "overlap", ((F.col("agree") / F.col("overlap") - F.col("chance")) / F.greatest(1 - F.col("chance"), F.lit(1e-9))).alias("centred")))
 
-    def without(pairs: DataFrame) -> DataFrame:
-        return cut(leading_vector(matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti")))
+    def without(pairs: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
+        return leading_vector(matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), start, tolerance=tolerance)
 
-    rated = cut(leading_vector(matrix))
+    # The pairs are told by far more than a thousandth; only the last fit goes on to the end.
+    rated = leading_vector(matrix, tolerance=2e-3)
     pairs = cut(dependent_pairs(matrix, rated, suspect))
     if not pairs.isEmpty():
-        pairs = cut(dependent_pairs(matrix, without(pairs), copied))
-        rated = without(pairs)
+        rated = without(pairs, rated, 2e-3)
+        pairs = cut(dependent_pairs(matrix, rated, copied))
+    rated = cut(without(pairs, rated, 1e-4))
     size = matrix.groupBy("a").agg(F.sum("overlap").alias("size"))
     told = pairs.join(size.toDF("a", "size_a"), "a").join(size.toDF("b", "size_b"), "b")
     links = told.where("size_a < size_b or (size_a = size_b and a > b)").select(F.col("a").alias("child"), F.col("b").alias("parent"), "copied")
