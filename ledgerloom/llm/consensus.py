@@ -71,8 +71,9 @@ def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidenc
     u_a = sum(overlap * centred * u_b) / sum(overlap * u_b^2). With equal
     overlaps this is the eigenvector of the matrix with the diagonal u_a^2. One
     iteration is two joins of the sparse matrix with the vector and an
-    aggregation, damped by the geometric mean; `steps` go between two
-    checkpoints. u is the share of right readings. `start` is a vector to go on
+    aggregation. A vector too large by a factor gives one too small by it, so
+    the last of the `steps` between two checkpoints takes the geometric mean
+    with the one before. u is the share of right readings. `start` is a vector to go on
     from (annotator, reliability), else every annotator starts alike.
     """
     matrix = cut(matrix.select("a", "b", F.col("overlap").cast("double").alias("overlap"), "centred"))
@@ -82,18 +83,20 @@ def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidenc
         vector = degree.join(start.select(F.col("annotator").alias("a"), "reliability"), "a", "left").select(F.col("a").alias("node"), F.coalesce("reliability", F.lit(0.9)).alias("u"), "overlaps")
     vector = cut(vector)
 
-    def turn(v: DataFrame) -> DataFrame:
+    def turn(v: DataFrame, last: bool) -> DataFrame:
         near = v.select(F.col("node").alias("a"), F.col("u").alias("ua"), "overlaps")
         far = v.select(F.col("node").alias("b"), F.col("u").alias("ub"))
         alike = coincidence * (1 - F.col("ua")) * (1 - F.col("ub"))
         up, down = F.sum(F.col("overlap") * (F.col("centred") - alike) * F.col("ub")), F.sum(F.col("overlap") * F.col("ub") * F.col("ub"))
         moved = matrix.join(far, "b").join(near, "a").groupBy("a").agg(F.max("ua").alias("ua"), F.max("overlaps").alias("overlaps"), (up / down).alias("y"))
-        return moved.select(F.col("a").alias("node"), F.least(F.sqrt(F.col("ua") * F.greatest("y", F.lit(1e-3))), F.lit(0.995)).alias("u"), "overlaps")
+        y = F.greatest("y", F.lit(1e-3))
+        u = F.least(F.sqrt(F.col("ua") * y), F.lit(0.995)) if last else F.least(y, F.lit(1.5))
+        return moved.select(F.col("a").alias("node"), u.alias("u"), "overlaps")
 
     for _ in range(0, most, steps):
         new = vector
-        for _ in range(steps):
-            new = turn(new)
+        for step in range(1, steps + 1):
+            new = turn(new, step == steps)
         new = cut(new)
         moved = new.join(vector.select("node", F.col("u").alias("before")), "node").agg(F.max(F.abs(F.col("u") - F.col("before"))).alias("d")).first().d
         vector = new
