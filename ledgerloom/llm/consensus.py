@@ -70,28 +70,28 @@ def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidenc
     pairs there are, weighted by their overlap:
     u_a = sum(overlap * centred * u_b) / sum(overlap * u_b^2). With equal
     overlaps this is the eigenvector of the matrix with the diagonal u_a^2. One
-    iteration is two joins of the sparse matrix with the vector and an
+    iteration is a join of the sparse matrix with the vector and an
     aggregation. A vector too large by a factor gives one too small by it, so
     the last of the `steps` between two checkpoints takes the geometric mean
     with the one before. u is the share of right readings. `start` is a vector to go on
     from (annotator, reliability), else every annotator starts alike.
     """
-    matrix = cut(matrix.select("a", "b", F.col("overlap").cast("double").alias("overlap"), "centred"))
     degree = matrix.groupBy("a").agg(F.sum("overlap").alias("overlaps"))
     vector = degree.select(F.col("a").alias("node"), F.lit(0.9).alias("u"), "overlaps")
     if start is not None:
         vector = degree.join(start.select(F.col("annotator").alias("a"), "reliability"), "a", "left").select(F.col("a").alias("node"), F.coalesce("reliability", F.lit(0.9)).alias("u"), "overlaps")
     vector = cut(vector)
+    # A diagonal of no weight hands each annotator's own value through the one join.
+    own = vector.select(F.col("node").alias("a"), F.col("node").alias("b"), F.lit(0.0).alias("overlap"), F.lit(0.0).alias("centred"))
+    matrix = cut(matrix.select("a", "b", F.col("overlap").cast("double").alias("overlap"), "centred").unionByName(own))
 
     def turn(v: DataFrame, last: bool) -> DataFrame:
-        near = v.select(F.col("node").alias("a"), F.col("u").alias("ua"), "overlaps")
-        far = v.select(F.col("node").alias("b"), F.col("u").alias("ub"))
-        alike = coincidence * (1 - F.col("ua")) * (1 - F.col("ub"))
-        up, down = F.sum(F.col("overlap") * (F.col("centred") - alike) * F.col("ub")), F.sum(F.col("overlap") * F.col("ub") * F.col("ub"))
-        moved = matrix.join(far, "b").join(near, "a").groupBy("a").agg(F.max("ua").alias("ua"), F.max("overlaps").alias("overlaps"), (up / down).alias("y"))
-        y = F.greatest("y", F.lit(1e-3))
-        u = F.least(F.sqrt(F.col("ua") * y), F.lit(0.995)) if last else F.least(y, F.lit(1.5))
-        return moved.select(F.col("a").alias("node"), u.alias("u"), "overlaps")
+        weight, ub = F.col("overlap"), F.col("u")
+        held = F.max(F.when(F.col("a") == F.col("b"), F.struct("u", "overlaps")))
+        moved = matrix.join(v.withColumnRenamed("node", "b"), "b").groupBy("a").agg(held.alias("own"), F.sum(weight * F.col("centred") * ub).alias("up"), F.sum(weight * (1 - ub) * ub).alias("alike"), F.sum(weight * ub * ub).alias("down"))
+        y = F.greatest((F.col("up") - coincidence * (1 - F.col("own.u")) * F.col("alike")) / F.col("down"), F.lit(1e-3))
+        u = F.least(F.sqrt(F.col("own.u") * y), F.lit(0.995)) if last else F.least(y, F.lit(1.5))
+        return moved.select(F.col("a").alias("node"), u.alias("u"), F.col("own.overlaps").alias("overlaps"))
 
     for _ in range(0, most, steps):
         new = vector
