@@ -49,3 +49,13 @@ def cut(df: DataFrame) -> DataFrame:
         folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in as many tasks as the session has cores, if its files make fewer; else as it is.
+
+    For inputs of a few small files ahead of costly map work. A large input has
+    more files than cores and isn't shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
