@@ -28,6 +28,9 @@ LOOKALIKE = dict(zip("аеорсхуіѕјкмтнвαορντικ", "aeopcxyisj
 #: What scanners take for one another, brought to one letter.
 SCANNED = {"0": "o", "1": "l", "i": "l", "|": "l", "5": "s", "8": "b"}
 
+#: A diagonal is coded as item * _LANE + shift + _LANE / 2; texts of fewer than half so many words.
+_LANE = 1 << 40
+
 _BROKEN = re.compile(r"(?<=\w)[-‐‑­]\s*[\r\n]+\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ­͏​-‏‪-‮⁠-⁩︀-️﻿]")
@@ -57,16 +60,36 @@ def near(a: str, b: str) -> bool:
         return True
     n, m = len(a), len(b)
     allowed = 2 if min(n, m) >= 9 else 1
-    if min(n, m) < 4 or abs(n - m) > allowed:
+    if min(n, m) < 4 or abs(n - m) > allowed or sum(c.isdigit() for c in b) * 2 > m:
         return False
-    if sum(c.isdigit() for c in b) * 2 > m:
+    return _edits(a, b, allowed)
+
+
+def _edits(a: str, b: str, allowed: int) -> bool:
+    """a becomes b by `allowed` edits or fewer, which are tried where the two first part."""
+    k, n, m = 0, len(a), len(b)
+    least = min(n, m)
+    while k < least and a[k] == b[k]:
+        k += 1
+    if k == n and k == m:
+        return True
+    if not allowed:
         return False
-    row = list(range(m + 1))
-    for i in range(1, n + 1):
-        before, row[0] = row[0], i
-        for j in range(1, m + 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (a[i - 1] != b[j - 1]))
-    return row[m] <= allowed
+    x, y = a[k:], b[k:]
+    return _edits(x[1:], y[1:], allowed - 1) or _edits(x[1:], y, allowed - 1) or _edits(x, y[1:], allowed - 1)
+
+
+def shapes_of(words: list[str]) -> np.ndarray:
+    """Length, first and last letter of each word, and whether it is mostly digits: what a slip mostly leaves."""
+    rows = [(len(w), ord(w[0]), ord(w[-1]), sum(map(w.count, "0123456789")) * 2 > len(w)) for w in words]
+    return np.array(rows, dtype=np.int64).reshape(len(words), 4).T
+
+
+def may_be_near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Pairs of words, by their shapes, that near could accept."""
+    least = np.minimum(a[0], b[0])
+    free = np.where(least >= 9, 2, 1)
+    return (least >= 4) & (np.abs(a[0] - b[0]) <= free) & (b[3] == 0) & ((free == 2) | (a[1] == b[1]) | (a[2] == b[2]))
 
 
 class Items:
@@ -80,6 +103,7 @@ class Items:
             for w in words:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
         self.codes = [np.array([self.vocabulary[w] for w in words], dtype=np.int64) for words in self.words]
+        self.shapes = [shapes_of(words) for words in self.words]
         self.stock = self._stock()
         per_mask = []
         for k, mask in enumerate(MASKS):
@@ -150,25 +174,31 @@ def pieces(equal: np.ndarray) -> list[tuple[int, int]]:
 def found_pieces(words: list[str], items: Items) -> list[tuple[int, np.ndarray, np.ndarray]]:
     """(item, places, own) of each piece of an item in the words: its places in the item, and those that aren't stock."""
     ids = np.fromiter((items.vocabulary.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-    lanes: set[tuple[int, int]] = set()
+    lanes = []
     for mask, code, item, at in items.index:
         own = items.seeds(ids, mask)
         places = np.flatnonzero(own >= 0)
         if not len(places) or not len(code):
             continue
         lo, hi = np.searchsorted(code, own[places], "left"), np.searchsorted(code, own[places], "right")
-        hit = hi > lo
-        for p, a, b in zip(places[hit].tolist(), lo[hit].tolist(), hi[hit].tolist(), strict=True):
-            for k in range(a, b):
-                lanes.add((int(item[k]), p - int(at[k])))
+        hits = hi - lo
+        if hits.any():
+            # The hits of each place are one stretch of the sorted codes.
+            first = np.repeat(lo, hits)
+            k = first + np.arange(len(first)) - np.repeat(np.cumsum(hits) - hits, hits)
+            lanes.append(item[k].astype(np.int64) * _LANE + (np.repeat(places, hits) - at[k]) + _LANE // 2)
+    if not lanes:
+        return []
+    found = np.unique(np.concatenate(lanes))
+    shapes = shapes_of(words)
     out = []
-    for i, shift in lanes:
+    for i, shift in zip((found // _LANE).tolist(), (found % _LANE - _LANE // 2).tolist(), strict=True):
         theirs = items.codes[i]
         a, b = max(0, -shift), min(len(theirs), len(words) - shift)
         equal = ids[a + shift : b + shift] == theirs[a:b]
         if equal.sum() < LEAST - 2:
             continue
-        for k in np.flatnonzero(~equal):
+        for k in np.flatnonzero(~equal & may_be_near(shapes[:, a + shift : b + shift], items.shapes[i][:, a:b])).tolist():
             # A slip can only bridge or lengthen a piece beside a match.
             if (k and equal[k - 1]) or (k + 1 < len(equal) and equal[k + 1]):
                 equal[k] = near(words[a + shift + k], items.words[i][a + k])

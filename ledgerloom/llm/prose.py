@@ -24,8 +24,11 @@ FUNCTION_SHARE = {"ro": 0.33, "en": 0.33, "de": 0.28, "hu": 0.22}
 VOWELS = set("aeiouyаеиоуыэюяіїєαεηιουω")
 BULLET = re.compile(r"^\s*(?:[-–—*•▪◦●·‣➜→►✓+]\s+|\(?\d{1,3}(?:\.\d{1,3})*[.)]\s+|\(?[a-zA-Z][.)]\s+|\(?[ivxlcIVXLC]{1,6}[.)]\s+|\[\d{1,3}\]\s+|(?:nr|art|pct|lit|poz|no|punctul|pos)\.?\s*\d{1,3}[.):]?\s+)\S", re.IGNORECASE)
 CELL = re.compile(r"\s*[\t|¦;]\s*| {2,}")
-SENTENCE_END = re.compile(r"[.!?…:]['\"”»)\]]*\s*$")
+#: What ends a sentence.
+END = tuple(".!?…:")
 TOKEN = re.compile(r"\S+")
+ALNUM = re.compile(r"[^\W_]")
+ENDS = re.compile(r"[.!?…:]['\"”»)\]]*(?=\s|$)")
 INNER = re.compile(r"^[^\w]+|[^\w]+$")
 #: Letters and signs that wrongly decoded text is made of.
 MISREAD = set("ÃÂ¤€ƒ�")
@@ -48,15 +51,18 @@ PROFILES = {
 }
 #: Weight of the three distributions in the distance to a profile.
 WEIGHT = (0.35, 0.45, 0.2)
+#: Characters met so far and their kinds.
+_LETTER_KINDS: dict[str, str] = {}
 
 
-def divergence(p: np.ndarray, q: np.ndarray) -> float:
-    """Jensen-Shannon divergence in bits, 0 to 1."""
-    m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        a = np.where(p > 0, p * np.log2(p / m), 0.0)
-        b = np.where(q > 0, q * np.log2(q / m), 0.0)
-    return float(max(0.0, (a.sum() + b.sum()) / 2))
+def _entropy(p: np.ndarray) -> np.ndarray:
+    """Shannon entropy of the last axis, in bits."""
+    return -(p * np.log2(np.where(p > 0, p, 1.0))).sum(axis=-1)
+
+
+def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon divergence in bits, 0 to 1; q may be many distributions, one a row."""
+    return np.maximum(0.0, _entropy((p + q) / 2) - (_entropy(p) + _entropy(q)) / 2)
 
 
 def _shares(counts: dict[str, float], names: tuple[str, ...]) -> np.ndarray:
@@ -85,6 +91,7 @@ def bare(word: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", word) if not unicodedata.combining(c))
 
 
+_PLACES = {lang: {bare(w): k for w, k in places.items()} for lang, (places, _) in LANGUAGES.items()}
 _SHARED = Counter(w for places, _ in LANGUAGES.values() for w in {bare(x) for x in places})
 _FUNCTION = {bare(w) for places, _ in LANGUAGES.values() for w in places}
 
@@ -122,10 +129,22 @@ def word_class(token: str, cache: dict[str, str]) -> str:
     return kind
 
 
+def _char_kind(c: str) -> str:
+    """One of CHARS; remembered."""
+    kind = "other" if c in MISREAD else "letter" if c.isalpha() or unicodedata.combining(c) else "digit" if c.isdigit() else "cell" if c in "\t|¦;" else "space" if c.isspace() else "stop" if c in ".,!?:'\"„”“«»()-–/%" else "other"
+    _LETTER_KINDS[c] = kind
+    return kind
+
+
+def ends_sentence(line: str) -> bool:
+    """The line's last character, quotes and brackets aside, ends a sentence."""
+    return line.rstrip().rstrip("'\"”»)]")[-1:] in END
+
+
 def line_class(line: str, copies: int) -> str:
     """sentence, text, item, row, repeat or rule."""
-    solid = [c for c in line if not c.isspace()]
-    if sum(c.isalnum() for c in solid) < 0.3 * len(solid) or sum(c in MISREAD for c in solid) > 0.2 * len(solid):
+    solid = sum(map(len, line.split()))
+    if len(ALNUM.findall(line)) < 0.3 * solid or sum(map(line.count, MISREAD)) > 0.2 * solid:
         return "rule"
     if copies >= 3:
         return "repeat"
@@ -134,30 +153,30 @@ def line_class(line: str, copies: int) -> str:
     if not hard and len(cells) >= 4 and ";" in line and sum(len(c) for c in cells) <= 40 * len(cells) and not any(any(x.isdigit() for x in c) for c in cells[1:]):
         return "item"  # entries of a running list
     if len(cells) >= 3 or (hard and len(cells) >= 2):
-        if sum(len(c) for c in cells) / len(cells) <= 40 and not (not hard and SENTENCE_END.search(line) and len(line) > 120):
+        if sum(len(c) for c in cells) / len(cells) <= 40 and not (not hard and ends_sentence(line) and len(line) > 120):
             return "row"
-    if BULLET.match(line) and not (line.count(" ") > 12 and SENTENCE_END.search(line)):
+    if BULLET.match(line) and not (line.count(" ") > 12 and ends_sentence(line)):
         return "item"  # a numbered paragraph of whole sentences is prose
-    if SENTENCE_END.search(line):
+    if ends_sentence(line):
         return "sentence"
     return "text"
 
 
-def statistics(text: str | None, cache: dict[str, str]) -> dict[str, object]:
+def statistics(text: str | None, cache: dict[str, str], plain: dict[str, str] | None = None) -> dict[str, object]:
     """All statistics of one text; those without a word are nil and have no kind."""
     text = text or ""
+    plain = {} if plain is None else plain
     lines = [x for x in re.split(r"\r\n|\r|\n", text) if x.strip()]
     tokens = TOKEN.findall(text)
     out: dict[str, object] = {"n_chars": len(text), "n_lines": len(lines), "n_words": 0, "mean_word_length": 0.0, "symbol_ratio": 0.0, "line_punctuation_share": 0.0, "common_word_share": 0.0, "language": None, "prose_divergence": None, "text_kind": None}
     if not lines:
         return out
     copies = Counter(x.strip() for x in lines)
-    line_counts = Counter()
-    for x in lines:
-        line_counts[line_class(x, copies[x.strip()])] += 1
+    kinds = [line_class(x, copies[x.strip()]) for x in lines]
+    line_counts = Counter(kinds)
     # Entries without a mark: short lines, hardly a sentence end among them.
-    short = [x for x in lines if len(x) <= 48 and line_class(x, 1) == "text"]
-    ends = sum(bool(SENTENCE_END.search(t)) for t in tokens)
+    short = [x for x, kind in zip(lines, kinds, strict=True) if len(x) <= 48 and kind in ("text", "repeat")]
+    ends = len(ENDS.findall(text))
     if len(lines) >= 4 and len(short) >= 0.6 * len(lines) and ends <= 0.15 * len(lines) + 1 and line_counts["text"] >= 0.6 * len(lines):
         shaped = sum(word_class(t, cache) in ("word", "function") for x in short for t in TOKEN.findall(x))
         if shaped >= 0.6 * sum(len(TOKEN.findall(x)) for x in short):
@@ -174,45 +193,55 @@ def statistics(text: str | None, cache: dict[str, str]) -> dict[str, object]:
         word_counts["again"] = top
     chars: Counter[str] = Counter()
     for c, n in Counter(text).items():
-        kind = "other" if c in MISREAD else "letter" if c.isalpha() or unicodedata.combining(c) else "digit" if c.isdigit() else "cell" if c in "\t|¦;" else "space" if c.isspace() else "stop" if c in ".,!?:'\"„”“«»()-–/%" else "other"
-        chars[kind] += n
+        chars[_LETTER_KINDS.get(c) or _char_kind(c)] += n
     shape = (_shares(line_counts, LINES), _shares(word_counts, WORDS), _shares(chars, CHARS))
-    plain_words = [w for w in (bare(INNER.sub("", t)) for t in lowered) if w]
-    words = Counter(plain_words)
-    n = len(plain_words)
+    words: Counter[str] = Counter()
+    letters = 0
+    for t, c in freq.items():
+        if (w := plain.get(t)) is None:
+            if len(plain) > 500_000:
+                plain.clear()
+            w = plain[t] = bare(INNER.sub("", t))
+        if w:
+            words[w] += c
+            letters += len(w) * c
+    n = sum(words.values())
     # The language whose own function words take most of the text; shared ones count by their share.
-    held = {lang: sum(words.get(bare(w), 0) / _SHARED[bare(w)] for w in places) for lang, (places, _) in LANGUAGES.items()}
+    common = {w: words[w] for w in _FUNCTION & words.keys()}
+    held = {lang: sum(c / _SHARED[w] for w, c in common.items() if w in places) for lang, places in _PLACES.items()}
     lang = max(sorted(held), key=lambda x: held[x])
-    places, profile = LANGUAGES[lang]
+    places, profile = _PLACES[lang], LANGUAGES[lang][1]
     seen = np.zeros(len(profile))
-    for w, k in places.items():
-        seen[k] = words.get(bare(w), 0)
+    for w, c in common.items():
+        if w in places:
+            seen[places[w]] = c
     seen[-1] = max(0, n - seen[:-1].sum())
-    best = (divergence(seen / n, profile) if n else 1.0, lang)
-    scored = []
-    for (kind, _), profile in PROFILES.items():
-        distance = sum(w * divergence(s, np.array(p) / sum(p)) for w, s, p in zip(WEIGHT, shape, profile, strict=True))
-        scored.append((distance, kind))
+    best = (float(divergence(seen / n, profile)) if n else 1.0, lang)
+    distances = sum(w * divergence(s, m) for w, s, m in zip(WEIGHT, shape, _MATRICES, strict=True))
     # What speaks for prose is also how near its words are to some language's.
-    scored = [(d * (0.75 + 0.5 * min(1.0, best[0])) if kind == "prose" else d, kind) for d, kind in scored]
-    function_share = sum(v for w, v in words.items() if w in _FUNCTION) / max(1, n)
-    letters = sum(len(w) for w in plain_words)
+    scored = [(float(d) * (0.75 + 0.5 * min(1.0, best[0])) if kind == "prose" else float(d), kind) for d, kind in zip(distances, _KINDS, strict=True)]
+    function_share = sum(common.values()) / max(1, n)
     out |= {
         "n_words": n, "mean_word_length": letters / n if n else 0.0, "symbol_ratio": (chars["other"] + chars["cell"]) / len(text),
-        "line_punctuation_share": sum(bool(SENTENCE_END.search(x)) for x in lines) / len(lines), "common_word_share": function_share,
+        "line_punctuation_share": sum(ends_sentence(x) for x in lines) / len(lines), "common_word_share": function_share,
         "language": lang if held[lang] > 0.02 * n else None, "prose_divergence": min(d for d, kind in scored if kind == "prose"), "text_kind": min(scored)[1],
     }
     return out
 
 
+_KINDS = [kind for kind, _ in PROFILES]
+_MATRICES = tuple(np.array([np.array(p[i]) / sum(p[i]) for p in PROFILES.values()]) for i in range(3))
+
+
 COLUMNS = "doc_id long, n_chars int, n_lines int, n_words int, mean_word_length double, symbol_ratio double, line_punctuation_share double, common_word_share double, language string, prose_divergence double, text_kind string"
 
 
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cache: dict[str, str] = {}
+    plain: dict[str, str] = {}
     names = [c.split()[0] for c in COLUMNS.split(", ")]
     for pdf in batches:
-        rows = [{"doc_id": d} | statistics(t, cache) for d, t in zip(pdf.doc_id, pdf.text, strict=True)]
+        rows = [{"doc_id": d} | statistics(t, cache, plain) for d, t in zip(pdf.doc_id, pdf.text, strict=True)]
         yield pd.DataFrame(rows, columns=names)
 
 
