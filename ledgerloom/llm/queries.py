@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import confusables, consensus, leakage, prose, tokens
-from ledgerloom.session import table
+from ledgerloom.session import spread, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -47,29 +47,33 @@ def p3_forms(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(confusables.consistent_forms(rows.select("name")), "name", "left").select("source_table", "row_key", "form")
 
 
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
-    return tokens.encode_documents(table(spark, d, "documents"))
+    return tokens.encode_documents(_documents(spark, d))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents with the evaluation items that leaked into them."""
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id")
+    return leakage.leaks(_documents(spark, d), table(spark, d, "eval_items")).select("doc_id", "item_id")
 
 
 def p8_parts(spark: SparkSession, d: str) -> DataFrame:
     """As p8_found, with how much of the item the document has."""
-    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    return leakage.leaks(_documents(spark, d), table(spark, d, "eval_items"))
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that are a list, a table or junk."""
-    return prose.text_statistics(table(spark, d, "documents")).where("text_kind != 'prose'").select("doc_id", "text_kind")
+    return prose.text_statistics(_documents(spark, d)).where("text_kind != 'prose'").select("doc_id", "text_kind")
 
 
 def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
     """Text statistics of every document."""
-    return prose.text_statistics(table(spark, d, "documents"))
+    return prose.text_statistics(_documents(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_consensus, p1_annotators, p3_found, p3_forms, p7_ids, p8_found, p8_parts, p9_found, p9_statistics)}
