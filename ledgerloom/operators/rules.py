@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import small
+
 
 def tolerance(terms: Column, unit: float = 0.01, least: int = 2) -> Column:
     """Rounding slack of a sum of so many printed terms."""
@@ -49,12 +51,12 @@ def identities(values: DataFrame, terms: DataFrame, keys: list[str]) -> DataFram
     """
     wanted = terms.groupBy("identity").agg(F.count(F.lit(1)).alias("n_terms"))
     codes = values.groupBy(*keys, "code").agg(F.sum("value").alias("value"))
-    joined = codes.join(F.broadcast(terms), "code").groupBy(*keys, "identity").agg(
+    joined = codes.join(small(terms), "code").groupBy(*keys, "identity").agg(
         F.count(F.lit(1)).alias("present"),
         F.sum(F.when(F.col("is_target"), F.col("value")).otherwise(0)).alias("target"),
         F.sum(F.when(~F.col("is_target"), F.col("value") * F.col("coeff")).otherwise(0)).alias("signed_sum"),
     )
-    whole = joined.join(F.broadcast(wanted), "identity").where("present = n_terms")
+    whole = joined.join(wanted, "identity").where("present = n_terms")
     off = F.col("target") - F.col("signed_sum")
     return whole.withColumn("difference", off).withColumn("holds", F.abs(off) <= tolerance(F.col("n_terms") - 1)).drop("present")
 

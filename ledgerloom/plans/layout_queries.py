@@ -25,11 +25,6 @@ def grid_sizes(spark, d):
     return size(cells, False).unionByName(size(G.transposed(cells), True))
 
 
-def split_rows(spark, d):
-    """Grid rows that complete the row before."""
-    return G.split_rows_stitched(_cells(spark, d), "doc_id").select("doc_id", F.col("row").cast("long").alias("row"), F.col("joined_to").cast("long").alias("joined_to"))
-
-
 def zipped_columns(spark, d):
     """Column names of each valid page with the quarters they stand for, place by place."""
     p = table(spark, d, "page_reviews").groupBy("review_id").agg(F.max(F.struct("revision", "columns"))["columns"].alias("columns"))
@@ -53,4 +48,4 @@ SQL = {
     "zipped_columns": """WITH p AS (SELECT review_id, max_by(columns, revision) AS columns FROM page_reviews GROUP BY 1), u AS (SELECT review_id, unnest(columns) AS column_name, generate_subscripts(columns, 1) - 1 AS place FROM p)
       SELECT review_id, CAST(place AS BIGINT) AS place, column_name, CASE WHEN column_name LIKE 'trim%' THEN column_name[5:5] END AS quarter FROM u""",
 }
-QUERIES = {f.__name__: f for f in (grid_facts, grid_sizes, split_rows, zipped_columns, mean_clusters, aligned_priorities)}
+QUERIES = {f.__name__: f for f in (grid_facts, grid_sizes, zipped_columns, mean_clusters, aligned_priorities)}

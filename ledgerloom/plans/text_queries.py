@@ -91,6 +91,8 @@ SQL = {
       SELECT p_partkey, r[1:2] || '.' || r[3:4] || '.' || r[5:6] AS code, r[1:2] || '.' || r[3:4] AS parent,
         r[1:2] || '.02' || CASE WHEN r[3:4] <> '00' THEN '.' || r[3:4] ELSE '' END || CASE WHEN r[5:6] <> '00' THEN '.' || r[5:6] ELSE '' END AS dotted FROM p""",
     "levenshtein_names": "WITH s AS (SELECT DISTINCT s_name AS n FROM supplier) SELECT a.n AS a, b.n AS b FROM s a JOIN s b ON a.n < b.n AND levenshtein(a.n, b.n) <= 1",
+    "token_subset": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(strip_accents(title)), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS t, list_filter(regexp_split_to_array(lower(strip_accents(text)), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS h
+      FROM documents WHERE title IS NOT NULL AND text IS NOT NULL) SELECT doc_id, len(t) > 0 AND list_has_all(h, t) AS inside FROM w""",
     "sha_fingerprint": "SELECT o_orderkey, sha256(o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|' || o_orderpriority) AS hash, left(sha256(o_orderkey || '|' || o_custkey || '|' || o_orderstatus || '|' || o_orderpriority), 24) AS bundle FROM orders",
     "json_props": "SELECT event_type, count(k) AS n, min(k) AS low, max(k) AS high, CAST(SUM(k) AS BIGINT) AS total FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) GROUP BY 1",
     "header_years": r"""SELECT doc_id, CAST(list_min(list_filter([CAST(y AS INT) FOR y IN regexp_extract_all(' ' || title || ' ', '(?:[^0-9])((?:19|20)[0-9]{2})(?:[^0-9])', 1)], lambda y: y BETWEEN 2000 AND 2100)) AS INTEGER) AS title_year,

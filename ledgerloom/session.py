@@ -24,6 +24,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, **extra: str) ->
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "12g",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in (settings | extra).items():
         builder = builder.config(key, value)

@@ -180,3 +180,27 @@ def test_mean_clusters_and_alignment(spark):
 def test_zipped_streams_refuse_unequal(spark):
     df = spark.createDataFrame([(1, ["a", "b"], [1, 2]), (2, ["a"], [1, 2])], "i int, n array<string>, v array<int>")
     assert [(r.i, r.n, r.v) for r in grids.zipped_streams(df, ["i"], {"n": F.col("n"), "v": F.col("v")}).collect()] == [(1, "a", 1), (1, "b", 2)]
+
+
+def test_split_rows_are_joined_to_the_row_before(spark):
+    rows = [(1, 0, 0, "Taxe"), (1, 0, 1, ""), (1, 1, 0, ""), (1, 1, 1, "12,5"), (1, 2, 0, "Sold"), (1, 2, 1, "3"), (1, 4, 1, "9")]
+    df = spark.createDataFrame(rows, "g int, row int, col int, cell string")
+    assert [(r.row, r.joined_to) for r in grids.split_rows_stitched(df, "g").collect()] == [(1, 0)]
+
+
+def test_component_sums_and_witnesses(spark):
+    df = spark.createDataFrame([("k", 5, "a"), ("k", 2, "b"), ("k", 3, "c"), ("k", 4, "d"), ("m", 2, "e"), ("m", 1, "f"), (None, 2, "g")], "k string, v int, o string")
+    assert [tuple(r) for r in joins.component_sums(df, df, "k", "v", "o").collect()] == [("k", 5, 2, 3)]
+    one = spark.createDataFrame([("x", 10.0), ("y", 5.0), ("z", None)], "k string, v double")
+    two = spark.createDataFrame([("x", 10.04), ("y", 5.2)], "k string, v double")
+    assert {r.k: (r.sources, r.agree) for r in joins.witnesses({"a": one, "b": two}, ["k"], "v", 0.05).collect()} == {"x": (2, True), "y": (2, False)}
+
+
+def test_gates_and_bands(spark):
+    df = spark.createDataFrame([("a", 50.0, 100.0), ("a", 45.0, 100.0), ("b", 10.0, 100.0), ("c", 1.0, 0.0)], "k string, part double, total double")
+    assert [r.k for r in A.gated(df, ["k"], "part", "total").collect()] == ["a"]
+    shares = spark.createDataFrame([("a", 50.0), ("a", 200.0), ("b", 50.0), ("c", None)], "k string, share double")
+    assert sorted((r.k, r.share, r.incomplete) for r in A.all_or_nothing(shares, ["k"], "share", 2, 130).where("k != 'c'").collect()) == [("a", None, True), ("a", None, True), ("b", 50.0, False)]
+    steps = A.de_cumulated(spark.createDataFrame([("a", 1, 5), ("a", 2, 9)], "k string, q int, v int"), ["k"], "q", "v")
+    assert [r.step for r in steps.orderBy("q").collect()] == [5, 4]
+    assert [tuple(r) for r in A.modal(spark.createDataFrame([("a", 1), ("a", 2), ("a", None)], "k string, v int"), ["k"], ["v"]).collect()] == [("a", 2, 1)]
