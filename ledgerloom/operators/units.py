@@ -56,7 +56,7 @@ def source_scales(amounts: DataFrame, **options) -> DataFrame:
     sizes = spot.groupBy("grp", "source").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.log10(F.abs(F.col("amount").cast("double"))), 0.5, 1000).alias("typical"))
     known = placed.join(sizes, placed.node == sizes.source).select("grp", "source", "root", F.round("potential").cast("int").alias("potential"), "typical")
     usual = sizes.agg(F.percentile_approx("typical", 0.5, 1000).alias("usual"))
-    votes = known.groupBy("root", "potential").agg(F.count(F.lit(1)).alias("n"), F.avg("typical").alias("typical")).join(F.broadcast(usual))
+    votes = known.groupBy("root", "potential").agg(F.count(F.lit(1)).alias("n"), F.avg("typical").alias("typical")).withColumn("usual", usual.scalar())
     best = votes.groupBy("root").agg(F.max(F.struct("n", (-F.abs(F.col("typical") - F.col("usual"))).alias("nearness"), F.col("potential").alias("reference"))).alias("best"), F.sum("n").alias("n_sources"))
     return known.join(best, "root").select("grp", "source", (F.col("potential") - F.col("best.reference")).alias("power"), F.col("best.reference").alias("reference"), "n_sources")
 
