@@ -244,7 +244,7 @@ def consistent_forms(names: DataFrame, dominance: int = 3) -> DataFrame:
     fixed = words.join(swaps, "token", "left").withColumn("token", F.coalesce("better", "token")).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("parts"))
     rejoined = fixed.select("name", F.concat_ws("", F.col("parts.token")).alias("better_form"))
     capital = forms.agg((F.sum(F.when(F.substring("form", 1, 1) == F.upper(F.substring("form", 1, 1)), F.col("n")).otherwise(0)) >= 0.99 * F.sum("n")).alias("capitals"))
-    told = forms.join(rejoined, "name", "left").join(F.broadcast(capital)).select("name", F.coalesce("better_form", "form").alias("form"), "capitals")
+    told = forms.join(rejoined, "name", "left").select("name", F.coalesce("better_form", "form").alias("form"), capital.scalar().alias("capitals"))
     known = _initials_known(forms)
     first = F.regexp_extract("form", r"^[\p{L}\p{M}]+", 0)
     joined = told.withColumn("first", first).join(known, F.col("first") == F.col("word"), "left")

@@ -127,7 +127,7 @@ def reliabilities(votes: DataFrame, suspect: float = 0.4, copied: float = 0.72)
     make good readers agree somewhat more than independent ones, copiers much
     more). Of a pair the one with fewer overlaps is the child.
     """
-    raw = agreement_matrix(votes).join(F.broadcast(chance_of(votes)))
+    raw = agreement_matrix(votes).withColumn("chance", chance_of(votes).scalar())
     matrix = cut(raw.select("a", "b", "overlap", ((F.col("agree") / F.col("overlap") - F.col("chance")) / F.greatest(1 - F.col("chance"), F.lit(1e-9))).alias("centred")))
 
     def without(pairs: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:

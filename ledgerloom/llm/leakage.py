@@ -275,7 +275,7 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_sh
 
     alone = united(told).where(F.size("places") < share * F.col("item_words"))
     total = documents.agg(F.count(F.lit(1)).alias("docs"))
-    common = alone.select("item_id", F.explode("places").alias("at")).groupBy("item_id", "at").count().join(F.broadcast(total)).where((F.col("count") >= 5) & (F.col("count") > stock_share * F.col("docs")))
+    common = alone.select("item_id", F.explode("places").alias("at")).groupBy("item_id", "at").count().where((F.col("count") >= 5) & (F.col("count") > stock_share * total.scalar()))
     stock = common.groupBy("item_id").agg(F.collect_set("at").alias("stock"))
     bare = told.join(stock, "item_id", "left").withColumn("own", F.array_except("own", F.coalesce("stock", F.array().cast("array<int>")))).drop("stock")
     words = F.size("places")
