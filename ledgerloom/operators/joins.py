@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -106,3 +107,23 @@ def component_sums(wholes: DataFrame, parts: DataFrame, key: str, value: str, or
     open_ = w.join(p, key).withColumn("_need", F.col("whole") - F.col("a")).where("a <= _need")
     hit = open_.join(q, (open_[key] == q._k) & (open_._need == q.b) & (open_.oa != q.ob))
     return hit.groupBy(key, "whole").agg(F.min(F.struct("a", "b")).alias("ab")).select(key, "whole", "ab.a", "ab.b")
+
+
+def agreeing_pairs(rows: DataFrame, keys: list[str], columns: list[str], order: str, least: int = 2) -> DataFrame:
+    """All pairs of rows of one key that are equal in `least` of the columns or more: keys, order, other, equal.
+
+    A pair is told once, the row of the lower `order` first; rows of one order
+    give no pair, nulls equal nothing. Rows meet by equi-join on the key and the
+    values of `least` columns, so rows of a key that agree in less are never
+    paired. A pair that meets in several places counts only where its first
+    equal columns are, so repeated rows keep their number without a distinct.
+    """
+    places = [F.when(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in chosen]), F.struct(F.lit(i).alias("place"), F.array(*[F.col(c).cast("string") for c in chosen]).alias("held"))) for i, chosen in enumerate(combinations(columns, least))]
+    listed = rows.select(*keys, order, *columns, F.explode(F.filter(F.array(*places), lambda x: x.isNotNull())).alias("_at")).select("*", "_at.place", "_at.held").drop("_at")
+    there = listed.select(*keys, "place", "held", F.col(order).alias("other"), *[F.col(c).alias(f"_{c}") for c in columns])
+    same = {c: F.coalesce(F.col(c) == F.col(f"_{c}"), F.lit(False)) for c in columns}
+    met = listed.join(there, [*keys, "place", "held"]).where(F.col(order) < F.col("other"))
+    first = F.slice(F.filter(F.array(*[F.when(same[c], F.lit(i)) for i, c in enumerate(columns)]), lambda x: x.isNotNull()), 1, least)
+    own = F.element_at(F.array(*[F.array(*map(F.lit, chosen)) for chosen in combinations(range(len(columns)), least)]), F.col("place") + 1)
+    equal = sum((F.when(same[c], 1).otherwise(0) for c in columns), F.lit(0))
+    return met.where(first == own).select(*keys, order, "other", equal.cast("long").alias("equal"))

@@ -88,6 +88,12 @@ def repeat_agreement(spark, d):
     return j.withColumn("equal", equal.cast("long")).where((F.col("equal") >= 2) & (F.col("l_partkey") != F.col("f.l_partkey"))).select("l_orderkey", "l_linenumber", "l_partkey", "equal")
 
 
+def repeat_agreement_pairs(spark, d):
+    """All pairs of lines of one order and number, of different parts, that agree in two columns or more."""
+    l = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")
+    return J.agreeing_pairs(l, ["l_orderkey", "l_linenumber"], ["l_suppkey", "l_quantity", "l_discount", "l_tax"], "l_partkey").withColumnRenamed("other", "other_partkey")
+
+
 def component_sum(spark, d):
     """Quantities of a part that are the sum of two other lines' quantities of the same supplier and part."""
     l = table(spark, d, "lineitem").select(F.concat_ws("/", F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string")).alias("pair"), F.col("l_quantity").cast("long").alias("q"), F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_extendedprice").cast("string")).alias("ord"))
@@ -163,4 +169,4 @@ SQL = {
     "set_ops": """WITH a AS (SELECT l_partkey AS id, count(*) AS n FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY 1), b AS (SELECT l_partkey AS id, count(*) AS n FROM lineitem WHERE year(l_shipdate) = 1999 GROUP BY 1)
       SELECT 'both' AS op, id, CAST(1 AS BIGINT) AS n FROM a JOIN b USING (id) UNION ALL SELECT 'only', id, 1 FROM a WHERE id NOT IN (SELECT id FROM b) UNION ALL SELECT 'multi', id, least(a.n, b.n) FROM a JOIN b USING (id)""",
 }
-QUERIES = {f.__name__: f for f in (registry_fallback_join, det_wins_merge, three_witness, semi_anti_missing, range_join_bands, nearest_center, one_to_one_match, repeat_agreement, component_sum, cross_period_suspects, cross_period_summary, union_editions, set_ops)}
+QUERIES = {f.__name__: f for f in (registry_fallback_join, det_wins_merge, three_witness, semi_anti_missing, range_join_bands, nearest_center, one_to_one_match, repeat_agreement, repeat_agreement_pairs, component_sum, cross_period_suspects, cross_period_summary, union_editions, set_ops)}

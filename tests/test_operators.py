@@ -204,3 +204,30 @@ def test_gates_and_bands(spark):
     steps = A.de_cumulated(spark.createDataFrame([("a", 1, 5), ("a", 2, 9)], "k string, q int, v int"), ["k"], "q", "v")
     assert [r.step for r in steps.orderBy("q").collect()] == [5, 4]
     assert [tuple(r) for r in A.modal(spark.createDataFrame([("a", 1), ("a", 2), ("a", None)], "k string, v int"), ["k"], ["v"]).collect()] == [("a", 2, 1)]
+
+
+def test_agreeing_pairs_tells_all_pairs(spark, smallest):
+    rows = [(1, 10, 1, 5.0, 1), (1, 20, 2, 6.0, 2), (1, 30, 2, 6.0, 2), (1, 30, 2, 6.0, 2), (1, 40, None, 6.0, None), (2, 20, 2, 6.0, 2), (1, 50, None, 7.0, None)]
+    df = spark.createDataFrame(rows, "k int, part int, a int, b double, c int")
+    got = sorted(tuple(r) for r in joins.agreeing_pairs(df, ["k"], ["a", "b", "c"], "part").collect())
+    # Neither pair is with the key's first row; nulls agree with nothing; a repeated row is told twice.
+    assert got == [(1, 20, 30, 3), (1, 20, 30, 3)]
+
+
+def test_repeat_agreement_pairs_are_those_of_every_line_with_every_other(spark, smallest):
+    from itertools import combinations
+
+    from ledgerloom.plans.join_queries import repeat_agreement_pairs
+    from ledgerloom.session import table
+
+    groups = {}
+    for r in table(spark, smallest, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax").collect():
+        groups.setdefault(tuple(r)[:2], []).append(tuple(r)[2:])
+    expected = []
+    for key, lines in groups.items():
+        for x, y in combinations(sorted(lines), 2):
+            equal = sum(a == b for a, b in zip(x[1:], y[1:], strict=True))
+            if x[0] != y[0] and equal >= 2:
+                expected.append((*key, x[0], y[0], equal))
+    assert len(expected) == 53
+    assert sorted(tuple(r) for r in repeat_agreement_pairs(spark, smallest).collect()) == sorted(expected)
