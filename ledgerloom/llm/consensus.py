@@ -74,7 +74,8 @@ def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidenc
     aggregation. A vector too large by a factor gives one too small by it, so
     the last of the `steps` between two checkpoints takes the geometric mean
     with the one before. u is the share of right readings. `start` is a vector to go on
-    from (annotator, reliability), else every annotator starts alike.
+    from (annotator, reliability), else every annotator starts alike. A vector
+    that still changes by `tolerance` or more after `most` iterations raises.
     """
     degree = matrix.groupBy("a").agg(F.sum("overlap").alias("overlaps"))
     vector = degree.select(F.col("a").alias("node"), F.lit(0.9).alias("u"), "overlaps")
@@ -102,6 +103,8 @@ def leading_vector(matrix: DataFrame, start: DataFrame | None = None, coincidenc
         vector = new
         if moved is None or moved < tolerance:
             break
+    else:
+        raise RuntimeError(f"reliabilities still change by {moved:.1e} after {most} steps")
     return vector.select(F.col("node").alias("annotator"), F.greatest("u", F.lit(0.02)).alias("reliability"), F.col("overlaps").cast("long").alias("overlaps"))
 
 
@@ -130,16 +133,15 @@ def reliabilities(votes: DataFrame, suspect: float = 0.4, copied: float = 0.72)
     raw = agreement_matrix(votes).withColumn("chance", chance_of(votes).scalar())
     matrix = cut(raw.select("a", "b", "overlap", ((F.col("agree") / F.col("overlap") - F.col("chance")) / F.greatest(1 - F.col("chance"), F.lit(1e-9))).alias("centred")))
 
-    def without(pairs: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
-        return leading_vector(matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), start, tolerance=tolerance)
+    def without(pairs: DataFrame, start: DataFrame) -> DataFrame:
+        return leading_vector(matrix.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), start)
 
-    # The pairs are told by far more than a thousandth; only the last fit goes on to the end.
-    rated = leading_vector(matrix, tolerance=2e-3)
+    rated = leading_vector(matrix)
     pairs = cut(dependent_pairs(matrix, rated, suspect))
     if not pairs.isEmpty():
-        rated = without(pairs, rated, 2e-3)
+        rated = without(pairs, rated)
         pairs = cut(dependent_pairs(matrix, rated, copied))
-    rated = cut(without(pairs, rated, 1e-4))
+    rated = cut(without(pairs, rated))
     size = matrix.groupBy("a").agg(F.sum("overlap").alias("size"))
     told = pairs.join(size.toDF("a", "size_a"), "a").join(size.toDF("b", "size_b"), "b")
     links = told.where("size_a < size_b or (size_a = size_b and a > b)").select(F.col("a").alias("child"), F.col("b").alias("parent"), "copied")

@@ -96,3 +96,24 @@ def test_odd_input(spark):
     assert int(tie.consensus) == 4 and tie.agreement == 0.5
     hot = C.consensus(frame(spark, [(1, f"r{i % 5}", "draft", "9" if i % 5 else "8") for i in range(500)]))[1].first()
     assert (int(hot.consensus), hot.readers, hot.agree) == (9, 5, 4)
+
+
+def test_unsettled_vector_raises(spark):
+    half = [("a", "b", 10, 0.9), ("a", "c", 10, 0.5), ("b", "c", 10, 0.4)]
+    matrix = spark.createDataFrame(half + [(b, a, n, c) for a, b, n, c in half], "a string, b string, overlap long, centred double")
+    with pytest.raises(RuntimeError, match="still change"):
+        C.leading_vector(matrix, most=4)
+    assert C.leading_vector(matrix).count() == 3
+
+
+def test_every_fit_goes_on_to_the_end(spark, monkeypatch):
+    _, rows, _ = simulated()
+    asked, fit = [], C.leading_vector
+
+    def told(matrix, start=None, **settings):
+        asked.append(settings.get("tolerance", 1e-4))
+        return fit(matrix, start, **settings)
+
+    monkeypatch.setattr(C, "leading_vector", told)
+    C.reliabilities(C.votes_of(frame(spark, rows)))
+    assert asked and set(asked) == {1e-4}
