@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ _BROKEN = re.compile(r"(?<=\w)[-‐‑­]\s*[\r\n]+\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ­͏​-‏‪-‮⁠-⁩︀-️﻿]")
 _TABLE = str.maketrans(LOOKALIKE | PLAIN | SCANNED)
-RESULT = "doc_id long, item_id long, covered array<int>, own array<int>"
+RESULT = "doc_id long, item_id long, covered array<int>, own array<int>, text long"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -218,14 +219,16 @@ def _scan(rows: list[tuple[int, str | None]]):
             for doc_id, text in zip(pdf.doc_id, pdf.text, strict=True):
                 words = words_of(text)
                 if len(words) >= LEAST:
-                    out += [(doc_id, items.ids[i], places, own) for i, places, own in found_pieces(words, items)]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "covered", "own"])
+                    found = found_pieces(words, items)
+                    same = int.from_bytes(blake2b(" ".join(words).encode(), digest_size=8).digest(), "big", signed=True) if found else 0
+                    out += [(doc_id, items.ids[i], places, own, same) for i, places, own in found]
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "covered", "own", "text"])
 
     return scan
 
 
 def pieces_in(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, covered, own), a row per piece of an item in a document: its places in the item, and those that aren't stock.
+    """(doc_id, item_id, covered, own, text), a row per piece of an item in a document: its places in the item, those that aren't stock, and a hash of the document's words.
 
     documents(doc_id, text) are read once per block of items; a block is as many
     items as have BLOCK_WORDS words, so what a worker holds is bounded, and the
@@ -259,8 +262,9 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_sh
     substituted word doesn't hide a passage; a hit is verified word by word along
     its diagonal, tolerating slips. Stock sentences don't count by themselves:
     runs that several different items share, and places of an item that more
-    than `stock_share` of all documents have (five at least) without having a
-    `share` of the item. A piece with LEAST words beside its stock counts whole,
+    different texts than `stock_share` of all documents have (five at least)
+    without having a `share` of the item; copies of a text count once. Pieces
+    that are the whole item count in any case. A piece with LEAST words beside its stock counts whole,
     for then its words follow one another as in the item; of others only the
     words beside stock count. Documents and items of null or empty text give no
     rows; repeated documents are told each; ties don't arise; further columns
@@ -271,11 +275,13 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_sh
 
     def united(rows: DataFrame) -> DataFrame:
         counted = F.when(F.size("own") >= LEAST, F.col("covered")).otherwise(F.col("own"))
-        return rows.withColumn("counted", counted).groupBy("doc_id", "item_id").agg(F.array_distinct(F.flatten(F.collect_list("counted"))).alias("places")).join(lengths, "item_id")
+        union = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+        both = rows.withColumn("counted", counted).groupBy("doc_id", "item_id").agg(union("counted").alias("places"), union("covered").alias("whole"), F.min("text").alias("text")).join(lengths, "item_id")
+        return both.withColumn("places", F.when(F.size("whole") >= F.col("item_words"), F.col("whole")).otherwise(F.col("places")))
 
     alone = united(told).where(F.size("places") < share * F.col("item_words"))
     total = documents.agg(F.count(F.lit(1)).alias("docs"))
-    common = alone.select("item_id", F.explode("places").alias("at")).groupBy("item_id", "at").count().where((F.col("count") >= 5) & (F.col("count") > stock_share * total.scalar()))
+    common = alone.select("item_id", "text", F.explode("places").alias("at")).groupBy("item_id", "at").agg(F.count_distinct("text").alias("count")).where((F.col("count") >= 5) & (F.col("count") > stock_share * total.scalar()))
     stock = common.groupBy("item_id").agg(F.collect_set("at").alias("stock"))
     bare = told.join(stock, "item_id", "left").withColumn("own", F.array_except("own", F.coalesce("stock", F.array().cast("array<int>")))).drop("stock")
     words = F.size("places")

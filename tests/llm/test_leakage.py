@@ -72,3 +72,18 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
 @pytest.mark.parametrize(("a", "b", "same"), [("guarantee", "guarantes", True), ("4821", "4822", False), ("abc", "abd", False), ("house", "mouse", True), ("station", "statlon", True), ("garden", "window", False)])
 def test_near(a, b, same):
     assert L.near(a, b) is same
+
+
+def test_copies_of_one_text_dont_make_stock(spark):
+    words = passage(5, 60).split()
+    quote, more = " ".join(words[:18]), " ".join(words[40:50])
+    docs = [filler(1) + " " + quote] * 8 + [filler(2) + " " + quote + " " + filler(3) + " " + more]
+    got = found(spark, docs, [(1, " ".join(words))])
+    assert {k[0] for k in got} == {8}
+
+
+def test_whole_passage_counts_though_all_of_it_is_quoted(spark):
+    words = passage(6, 60).split()
+    docs = [filler(10 + 10 * q + i) + " " + " ".join(words[15 * q : 15 * q + 15]) for q in range(4) for i in range(6)]
+    got = found(spark, [*docs, " ".join(words)], [(1, " ".join(words))])
+    assert {k[0] for k in got} == {24}
