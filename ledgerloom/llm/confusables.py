@@ -189,7 +189,7 @@ def ordinary(text: str | None) -> str | None:
     it is mixed and takes the script of its unmistakable letters. Then marks are
     composed, and Romanian's cedilla letters get their commas.
     """
-    if text is None or text.isascii() and "I" not in text and not any(c < " " for c in text):
+    if text is None or text.isascii() and "I" not in text and not any(c < " " or c == "\x7f" for c in text):
         return text
     parts = _tokens(unicodedata.normalize("NFC", visible(text)))
     context: dict[str, int] = {}
@@ -254,7 +254,8 @@ def consistent_forms(names: DataFrame, dominance: int = 3) -> DataFrame:
 
 def _initials_known(forms: DataFrame) -> DataFrame:
     """Words with a small l that are written so inside names, so that a name may well begin with them."""
-    inner = forms.select(F.explode(F.slice(F.split("form", r"[^\p{L}\p{M}]+"), 2, 1000)).alias("word"))
+    words = F.split("form", r"[^\p{L}\p{M}]+")
+    inner = forms.select(F.explode(F.slice(words, F.lit(2), F.size(words))).alias("word"))
     return inner.where(F.col("word").startswith("l")).distinct()
 
 

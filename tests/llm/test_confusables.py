@@ -49,3 +49,13 @@ def test_corpus_decides_first_letters(spark):
 def test_repeats_and_empty_table(spark):
     assert C.spelled_otherwise(rows(spark, ["Ｔaxe", "Ｔaxe", "Taxe"])).count() == 2
     assert C.spelled_otherwise(rows(spark, [])).count() == 0
+
+
+def test_words_behind_the_thousandth_are_known(spark):
+    long = "Carne" + " si" * 1100 + " lapte"
+    df = spark.createDataFrame([("Carne",)] * 200 + [(long,), ("lapte gras",)], "name string")
+    assert {r.name: r.form for r in C.consistent_forms(df).collect()}["lapte gras"] == "lapte gras"
+
+
+def test_delete_character_is_removed():
+    assert C.ordinary("ab\x7fc") == "abc"
