@@ -21,7 +21,7 @@ def stream_hourly(spark, d):
     """Events and value by hour and type."""
     to = _folder(spark)
     aggs = [F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")]
-    stream = E.windowed(E.read(spark, d, "events"), "ts", "1 hour", None, ["event_type"], aggs)
+    stream = E.windowed(E.read(spark, d, "events"), "ts", "1 hour", None, ["event_type"], aggs, late=None)
     flat = stream.select(F.unix_timestamp("w.start").alias("start"), "event_type", "events", "total")
     E.run_available(flat, "update", E.upsert_into(f"{to}/out", ["start", "event_type"]), f"{to}/state")
     return E.latest(spark, f"{to}/out", ["start", "event_type"])
@@ -30,7 +30,7 @@ def stream_hourly(spark, d):
 def stream_sliding(spark, d):
     to = _folder(spark)
     aggs = [F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).cast("decimal(38,2)").alias("total")]
-    stream = E.windowed(E.read(spark, d, "events"), "ts", "2 hours", "1 hour", [], aggs)
+    stream = E.windowed(E.read(spark, d, "events"), "ts", "2 hours", "1 hour", [], aggs, late=None)
     flat = stream.select(F.unix_timestamp("w.start").alias("start"), "events", "total")
     E.run_available(flat, "update", E.upsert_into(f"{to}/out", ["start"]), f"{to}/state")
     return E.latest(spark, f"{to}/out", ["start"])

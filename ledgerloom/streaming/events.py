@@ -14,14 +14,19 @@ TOTALS = "user_id long, events long, total double"
 
 
 def read(spark: SparkSession, folder: str, name: str, files_per_trigger: int = 64) -> DataFrame:
-    """The files of a table in a folder as a stream; the schema is that of the files there are."""
-    schema = spark.read.parquet(f"{folder}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
-
-
-def windowed(events: DataFrame, at: str, size: str, slide: str | None, by: list[str], aggregates: list[Column], late: str = LATE) -> DataFrame:
-    """Tumbling (no slide) or sliding windows with a watermark; state is dropped once a window can't change."""
-    timed = events.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, late)
+    """The files of a table in a folder, or of the table's own directory, as a stream; the schema is that of the files there are."""
+    own = f"{folder}/{name}.parquet"
+    stream = spark.readStream.schema(spark.read.parquet(own).schema).option("maxFilesPerTrigger", files_per_trigger)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return stream.parquet(own)
+    return stream.option("pathGlobFilter", f"{name}*.parquet").parquet(folder)
+
+
+def windowed(events: DataFrame, at: str, size: str, slide: str | None, by: list[str], aggregates: list[Column], late: str | None = LATE) -> DataFrame:
+    """Tumbling (no slide) or sliding windows with a watermark; state is dropped once a window can't change. Without `late` no event is too late and all state is kept."""
+    timed = events.withColumn(at, F.col(at).cast("timestamp"))
+    timed = timed.withWatermark(at, late) if late else timed
     window = F.window(at, size, slide) if slide else F.window(at, size)
     return timed.groupBy(window.alias("w"), *by).agg(*aggregates)
 

@@ -68,3 +68,14 @@ def test_once_each(spark, tmp_path):
     stream = spark.readStream.schema("event_id int, ts timestamp").parquet(str(tmp_path / "events.parquet"))
     E.run_available(E.once_each(stream, "ts", "event_id"), "append", E.upsert_into(str(tmp_path / "out"), ["event_id"]), str(tmp_path / "state"))
     assert spark.read.parquet(str(tmp_path / "out") + "/batch=*").count() == 2
+
+
+def test_streams_read_a_directory_whatever_its_order(spark, smallest, tmp_path):
+    from ledgerloom.plans import stream_queries as Q
+    from ledgerloom.session import table
+
+    events = table(spark, smallest, "events").select("event_id", "ts", "event_type", "value", "user_id").orderBy("ts").limit(70).collect()
+    schema = table(spark, smallest, "events").select("event_id", "ts", "event_type", "value", "user_id").schema
+    spark.createDataFrame(events, schema).repartition(70, "event_id").write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / "events.parquet"))
+    assert sum(r.events for r in Q.stream_totals(spark, str(tmp_path)).collect()) == 70
+    assert sum(r.events for r in Q.stream_hourly(spark, str(tmp_path)).collect()) == 70
