@@ -38,35 +38,49 @@ def printed_number(c: Column, notation: Column | None = None) -> Column:
     if notation is not None:
         canonical = F.regexp_replace(text, ",", "")
         auto = F.when(notation == "romanian", comma).when(notation == "canonical", canonical).otherwise(auto)
-    return F.when(auto.rlike(r"^-?\d{1,31}(\.\d*)?$|^-?\.\d+$"), auto.try_cast(MONEY))
+    return F.when(auto.rlike(r"^-?\d+(\.\d*)?$|^-?\.\d+$"), auto.try_cast(MONEY))
 
 
 def loose_number(c: Column) -> Column:
     """A loosely typed number text such as `1 245`, ` 533.0` or `8,096` in plain form.
 
-    The result is the shortest text of the number, so equal numbers are equal
-    texts. Text that isn't a number comes back trimmed and in lower case.
+    The result is the shortest text of the number, of any length, so equal
+    numbers are equal texts. Text that isn't a number comes back trimmed and in
+    lower case.
     """
     text = F.regexp_replace(blank_to_null(c), SPACES, "")
     grouped = F.when(text.rlike(r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"), F.regexp_replace(text, ",", "")).otherwise(F.regexp_replace(text, ",", "."))
-    number = F.when(grouped.rlike(r"^[-+]?\d{1,28}(\.\d*)?$"), grouped.try_cast("decimal(38,10)"))
-    plain = F.regexp_replace(F.regexp_replace(number.cast("string"), r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.coalesce(plain, F.lower(blank_to_null(c)))
+    return F.coalesce(shortest(grouped), F.lower(blank_to_null(c)))
+
+
+def shortest(text: Column) -> Column:
+    """The shortest text of a plain decimal text of any length (no outer zeros, no plus, no minus nil); null for other text."""
+    sign, whole, rest = (F.regexp_extract(text, r"^([-+]?)0*(\d*)(?:\.(\d*?)0*)?$", i) for i in (1, 2, 3))
+    digits = F.concat(F.when(whole == "", "0").otherwise(whole), F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""))
+    return F.when(text.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)$"), F.when((sign == "-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits))
+
+
+#: A unit's words and the power of ten that brings it to mii lei, greatest first.
+UNITS = ((6, r"miliarde?|mld\.?"), (3, r"milioane|milion|mil\.?|mln\.?|mio\.?"), (0, r"mii|mie|k|ezer|thousand"))
+#: Names of the currency.
+CURRENCY = r"(?:lei|leu|ron)"
 
 
 def unit_exponent(c: Column) -> Column:
     """Power of ten that brings an amount with this unit text to mii lei; null if the text states no unit.
 
-    lei and RON are -3, mii (thousand, k) 0, milioane (mil.) 3, miliarde 6.
+    lei and RON are -3, mii (thousand, k) 0, milioane (mil.) 3, miliarde 6. A
+    unit may be glued to a number (`18,5mil. RON`) or an underscore (`mii_lei`),
+    not to other letters (`premii lei` has no thousands). Every unit needs its
+    currency; of several the greatest is told.
     """
     text = F.lower(c)
-    lei = r"(lei|ron)"
-    return (
-        F.when(text.rlike(rf"\b(miliard(e|)|mld\.?)(\s+de)?\s*{lei}\b"), F.lit(6))
-        .when(text.rlike(rf"(milioane|\bmil\.?|milion|\bmln\.?)(\s+de)?\s*{lei}\b"), F.lit(3))
-        .when(text.rlike(rf"(mii|\bk|ezer|thousand|mie)(_|\s)*(de\s+)?{lei}\b"), F.lit(0))
-        .when(text.rlike(rf"(^|[^a-z]){lei}\b"), F.lit(-3))
-    )
+    alone = r"(?<!\p{L})"
+    told = None
+    for power, words in UNITS:
+        fits = text.rlike(rf"{alone}(?:{words})[\s_]*(?:de[\s_]+)?{CURRENCY}(?!\p{{L}})")
+        told = F.when(fits, F.lit(power)) if told is None else told.when(fits, F.lit(power))
+    return told.when(text.rlike(rf"{alone}{CURRENCY}(?!\p{{L}})"), F.lit(-3))
 
 
 def number_part(c: Column) -> Column:

@@ -9,24 +9,29 @@ from ledgerloom.operators.graph import propagate
 from ledgerloom.session import cut
 
 
-def pairwise_scales(links: DataFrame, min_links: int = 3, snap: tuple[float, ...] = (-9, -6, -3, 0, 3, 6, 9), snap_within: float = 0.5) -> DataFrame:
+def pairwise_scales(links: DataFrame, min_links: int = 3, snap: tuple[float, ...] = (-9, -6, -3, 0, 3, 6, 9), snap_within: float = 0.5, offset_within: float = 0.5) -> DataFrame:
     """Robust scale and offset of each pair of sources, snapped to known conversions.
 
     links(a, b, x, y): x and y are what sources a and b say of one entity, and
     y = scale * x + offset is wanted. log10 of the scale is the median of
     log10 |y/x|; if a power in `snap` lies within `snap_within` of it, that is
     the conversion, else (or with fewer than `min_links` links) there is none.
-    offset is the median of y - scale * x under the snapped scale. Links with a
-    null or nil amount count for nothing. Mergeable sketches only, so that a
-    pair of any size is spread over tasks.
+    offset is the median of y - scale * x under the snapped scale; units of
+    money have no offset, so a pair whose offset is more than `offset_within`
+    of its median |y| isn't told apart by its unit and has no power. Returns
+    (a, b, n_links, log_scale, power, offset); power is null where none is
+    known, so that no pair of sources is lost. Links with a null or nil amount
+    count for nothing. Mergeable sketches only, so that a pair of any size is
+    spread over tasks.
     """
     usable = links.where("x != 0 and y != 0 and a is not null and b is not null")
     found = usable.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_links"), F.percentile_approx(F.log10(F.abs(F.col("y") / F.col("x"))), 0.5, 10000).alias("log_scale"))
     nearest = F.array_min(F.array(*[F.struct(F.abs(F.col("log_scale") - float(s)).alias("off"), F.lit(float(s)).alias("power")) for s in snap]))
     snapped = found.withColumn("near", nearest).withColumn("power", F.when((F.col("n_links") >= min_links) & (F.col("near.off") <= snap_within), F.col("near.power"))).drop("near")
     rest = F.col("y") - F.pow(F.lit(10.0), F.col("power")) * F.col("x")
-    offsets = usable.join(snapped.where("power is not null").select("a", "b", "power"), ["a", "b"]).groupBy("a", "b").agg(F.percentile_approx(rest, 0.5, 10000).alias("offset"))
-    return snapped.join(offsets, ["a", "b"], "left")
+    offsets = usable.join(snapped.where("power is not null").select("a", "b", "power"), ["a", "b"]).groupBy("a", "b").agg(F.percentile_approx(rest, 0.5, 10000).alias("offset"), F.percentile_approx(F.abs("y"), 0.5, 1000).alias("size"))
+    told = snapped.join(offsets, ["a", "b"], "left")
+    return told.withColumn("power", F.when(F.abs("offset") <= offset_within * F.col("size"), F.col("power"))).drop("size")
 
 
 def source_scales(amounts: DataFrame, **options) -> DataFrame:

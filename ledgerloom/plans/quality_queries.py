@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import numbers as N
@@ -99,28 +99,54 @@ def printed_amounts(spark: SparkSession, d: str) -> DataFrame:
     return cut(read).select("value_id", "review_id", "printed", "number", "normalized", F.coalesce("own", "page_exponent", "note_exponent").alias("exponent"), basis.alias("basis"))
 
 
+def _page_source() -> Column:
+    """The source of a value: its page, or what its page prints in one unit of its own."""
+    return F.concat_ws("/", F.col("review_id").cast("string"), F.when(F.col("basis") == "printed", F.concat(F.lit("printed "), F.col("exponent").cast("string"))).otherwise("page"))
+
+
 def value_scales(rows: DataFrame) -> DataFrame:
-    """Scale of each page (and unit statement on it) against its frozen normalised values, snapped."""
-    source = F.concat_ws("/", F.col("review_id").cast("string"), F.when(F.col("basis") == "printed", F.concat(F.lit("printed "), F.col("exponent").cast("string"))).otherwise("page"))
-    links = rows.where("number is not null and normalized is not null").select(source.alias("a"), F.lit("normalised").alias("b"), F.col("number").cast("double").alias("x"), F.col("normalized").cast("double").alias("y"))
+    """(source, inferred, n_links, offset): scale of each page (and unit statement on it) against its frozen normalised values, snapped."""
+    links = rows.where("number is not null and normalized is not null").select(_page_source().alias("a"), F.lit("normalised").alias("b"), F.col("number").cast("double").alias("x"), F.col("normalized").cast("double").alias("y"))
     return units.pairwise_scales(links, min_links=2).select(F.col("a").alias("source"), F.col("power").cast("int").alias("inferred"), "n_links", "offset")
 
 
 def harmonised_values(spark: SparkSession, d: str) -> DataFrame:
     """Printed amounts in mii lei: by the unit stated, else by the scale inferred for the page."""
-    rows = printed_amounts(spark, d).withColumn("source", F.concat_ws("/", F.col("review_id").cast("string"), F.when(F.col("basis") == "printed", F.concat(F.lit("printed "), F.col("exponent").cast("string"))).otherwise("page")))
+    rows = printed_amounts(spark, d).withColumn("source", _page_source())
     scaled = rows.join(value_scales(rows), "source", "left")
     used = F.coalesce("exponent", "inferred")
     return scaled.withColumn("mii_lei", N.times_ten_to(F.col("number"), used)).withColumn("basis", F.coalesce("basis", F.when(F.col("inferred").isNotNull(), "inferred"), F.lit("unknown")))
 
 
+def value_cases(values: DataFrame, share: float = 0.005) -> DataFrame:
+    """Values off their source's line of scale and offset, then exactly checked against the unit stated.
+
+    A candidate is a value that its source's estimated line doesn't give within
+    `share`, or any value of a source whose line isn't the stated unit's (no
+    scale known, another one, or an offset that alone could hide a difference).
+    A value on a line that is the stated unit's is right, so none is lost.
+    """
+    line = N.times_ten_to(F.col("number"), F.col("inferred")) + F.col("offset").cast(N.MONEY)
+    plain = (F.col("inferred") == F.col("exponent")) & (F.abs("offset") <= share * F.abs(F.col("normalized").cast("double")) / 10)
+    candidate = ~F.coalesce(plain & ~units.differs(F.col("normalized"), line, share / 2), F.lit(False))
+    return values.where("exponent is not null and normalized is not null and mii_lei is not null").where(candidate).where(units.differs(F.col("normalized"), F.col("mii_lei"), share))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     """Values whose normalised amount isn't the printed one, and editions in another unit than their label's."""
-    values = harmonised_values(spark, d).where("exponent is not null and normalized is not null and mii_lei is not null").where(units.differs(F.col("normalized"), F.col("mii_lei"), 0.005))
+    values = value_cases(harmonised_values(spark, d))
     editions = edition_scales(spark, d).where("power != 0")
     return values.select(F.lit("value").alias("record_kind"), F.col("value_id").cast("string").alias("record_key")).unionByName(editions.select(F.lit("edition").alias("record_kind"), F.col("source").alias("record_key")))
 
 
+def p5_editions(spark: SparkSession, d: str) -> DataFrame:
+    """Every edition with amounts: the power of ten it is off its city's scale, or `unjudged` where too few lines link it."""
+    held = edition_amounts(spark, d).groupBy("siruta", F.col("year").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("amounts"))
+    scales = edition_scales(spark, d).select(F.col("source").alias("edition"), "power", "n_sources")
+    told = held.withColumn("edition", F.concat_ws("/", "siruta", F.col("year").cast("string"))).join(scales, "edition", "left")
+    return told.select("edition", "amounts", F.coalesce("n_sources", F.lit(0)).cast("long").alias("linked"), "power", F.when(F.col("power").isNull(), "unjudged").when(F.col("power") == 0, "as labelled").otherwise("another unit").alias("state"))
+
+
 def p5_amounts(spark: SparkSession, d: str) -> DataFrame:
     """Every amount in mii lei, with the unit's basis."""
     values = harmonised_values(spark, d).select(F.lit("value").alias("record_kind"), F.col("value_id").alias("record_id"), "mii_lei", "basis")
@@ -150,4 +176,4 @@ def p6_reasons(spark: SparkSession, d: str) -> DataFrame:
     return spikes.abnormal(line_changes(spark, d)).select(F.col("reading_id").alias("pair_id"), "source", "reason", F.round("innovation", 3).alias("innovation"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_lifespans, p2_casts, p4_found, p4_values, p5_found, p5_amounts, p6_found, p6_reasons)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_lifespans, p2_casts, p4_found, p4_values, p5_found, p5_editions, p5_amounts, p6_found, p6_reasons)}

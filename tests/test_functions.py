@@ -104,3 +104,27 @@ def test_near_keys_meet_at_one_edit(spark):
     keyed = s.select("name", F.explode(T.near_keys(F.col("name"))).alias("k"))
     met = {(r.a, r.b) for r in keyed.toDF("a", "k").join(keyed.toDF("b", "k"), "k").where("a < b and levenshtein(a, b) <= 1").select("a", "b").collect()}
     assert met == {("bold", "bolt"), ("bol", "bolt"), ("bol", "bold"), ("bolt", "bolts"), ("bold", "cold")}
+
+
+def test_unit_words_glued_and_spaced(spark):
+    words = {6: ["miliarde", "miliard", "mld", "mld."], 3: ["milioane", "milion", "mil.", "mil", "mln"], 0: ["mii", "k", "ezer"]}
+    texts, powers = [], []
+    for power, names in words.items():
+        for name in names:
+            for currency in ("lei", "RON"):
+                for form in (f"18,51944{name} {currency}", f"18,5 {name} {currency}", f"{name} {currency} 18,5", f"18,5{name} de {currency}", f"18 {name.upper()} {currency}", f"{name}_{currency}"):
+                    texts.append(form)
+                    powers.append(power)
+    for form in ("7lei", "7 LEI", "RON 7", "lei (RON)"):
+        texts.append(form)
+        powers.append(-3)
+    for form in ("premii lei", "7", "leit", "mii", "", None):
+        texts.append(form)
+        powers.append(-3 if form == "premii lei" else None)
+    assert mapped(spark, texts, N.unit_exponent(F.col("x"))) == powers
+
+
+def test_shortest_has_no_bound_of_digits(spark):
+    long_ = "9" * 60
+    got = mapped(spark, [long_, f"000{long_}.500", f"-{long_}", "-0.00", "+5", ".5", "5.", "x"], N.shortest(F.col("x")))
+    assert got == [long_, f"{long_}.5", f"-{long_}", "0", "5", "0.5", "5", None]
