@@ -138,8 +138,8 @@ def manifest_status(spark, d):
 
 
 _F = """f AS (SELECT fact_id, CAST(year AS BIGINT) AS year, coalesce(siruta, '') AS siruta, coalesce(suffix, '') AS suffix, coalesce(section, '') AS section, coalesce(kind, '') AS kind, coalesce(code, '') AS code, coalesce(func_code, '') AS func_code, coalesce(column_name, '') AS column_name,
-  CAST(CASE WHEN NOT regexp_matches(lower(unit), '(lei|leu|ron)') THEN value WHEN regexp_matches(lower(unit), '(^|[^a-z])(miliard|mld)') THEN value * 1000000 WHEN regexp_matches(lower(unit), '(^|[^a-z])(mil[.]|milio|mln|mio)') THEN value * 1000
-    WHEN regexp_matches(lower(unit), '(^|[^a-z])(mii|mie|k |ezer|thousand)') OR unit IS NULL THEN value ELSE round(value / 1000, 6) END AS DECIMAL(38,6)) AS value FROM facts WHERE siruta IS NOT NULL AND year IS NOT NULL AND value IS NOT NULL)"""
+  CAST(value::DECIMAL(28,6) * (CASE WHEN unit IS NULL OR NOT regexp_matches(lower(unit), '(lei|leu|ron)') THEN 1 WHEN regexp_matches(lower(unit), '(^|[^a-z])(miliard|mld)') THEN 1000000 WHEN regexp_matches(lower(unit), '(^|[^a-z])(mil[.]|milio|mln|mio)') THEN 1000
+    WHEN regexp_matches(lower(unit), '(^|[^a-z])(mii|mie|k |ezer|thousand)') THEN 1 ELSE 0.001 END)::DECIMAL(10,3) AS DECIMAL(38,6)) AS value FROM facts WHERE siruta IS NOT NULL AND year IS NOT NULL AND value IS NOT NULL)"""
 _E = f"""{_F}, e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY siruta, suffix, section, kind, code, func_code, column_name, year ORDER BY fact_id) AS k FROM f WHERE code <> '' AND abs(value) >= 1) WHERE k = 1),
   p AS (SELECT n.*, n.siruta || '/' || n.year AS edition, o.value::DOUBLE AS old, n.value::DOUBLE AS new, n.value::DOUBLE / o.value::DOUBLE AS ratio FROM e o JOIN e n USING (siruta, suffix, section, kind, code, func_code, column_name) WHERE n.year = o.year + 1),
   m AS (SELECT edition, count(*) AS matched, median(ratio) AS med FROM p GROUP BY 1 HAVING count(*) >= 20)"""
