@@ -127,15 +127,47 @@ def test_spikes_stuck_and_impossible(spark):
     at = len(rows) + len(still)
     got = {r.reading_id: r.reason for r in spikes.abnormal(readings(spark, everything)).collect()}
     assert got == {at: "spike", at + 1: "stuck", at + 3: "impossible", at + 5: "impossible", at + 6: "spike", at + 9: "spike"}
-    # A hot source in many sub-series is judged alike.
-    assert {r.reading_id for r in spikes.abnormal(readings(spark, everything), block_rows=20).collect()} == set(got)
+    # Whether a source's shares are cut into many chunks or none, rows are judged alike.
+    told_rows = spikes.innovations(readings(spark, everything).where("old_value > 0 and new_value > 0 and source is not null").selectExpr("reading_id", "source", "at", "cast(log10(new_value / old_value) as double) as y", "cast(old_value - new_value as double) as delta"))
+    assert {r.reading_id for r in spikes.frozen(told_rows, chunk_rows=20).where("moves and frozen").collect()} == {r.reading_id for r in spikes.frozen(told_rows).where("moves and frozen").collect()} == set()
     assert spikes.abnormal(readings(spark, [])).count() == 0
 
 
-def test_flagged_innovations_are_withheld():
-    y = np.array([0.0] * 5 + [50.0] * 30 + [0.1])
-    z, spike = spikes.filter_series(y, 0.0, 1.0, 1e-4, 7.0)
-    assert spike.sum() == 30 and not spike[-1] and abs(z[-1]) < 1
+def drifting(spark, n=320, seed=5):
+    """A source whose level rises a hundredfold, one reading three times its neighbours', 30 readings frozen on one change."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        factor = 10 ** (2 * i / n + rng.normal(0, 0.02))
+        rows.append(("drifting", Decimal(100), Decimal(str(round(100 * factor * (3 if i == 100 else 1), 6))), False))
+    return readings(spark, rows)
+
+
+def test_the_state_decides_where_the_level_drifts(spark):
+    assert [tuple(r) for r in spikes.abnormal(drifting(spark)).select("reading_id", "reason").collect()] == [(100, "spike")]
+    # Without dynamics the level's own movement hides the spike.
+    assert spikes.abnormal(drifting(spark), drifts=(0.0,)).count() == 0
+
+
+def test_frozen_runs_have_no_innovation_variance(spark):
+    rng = np.random.default_rng(6)
+    rows = [("s", Decimal(200), Decimal("210") if 60 <= i < 90 else Decimal(str(round(200 * 10 ** rng.normal(0.02, 0.02), 4))), False) for i in range(200)]
+    got = {r.reading_id: r.reason for r in spikes.abnormal(readings(spark, rows)).collect()}
+    assert got == dict.fromkeys(range(60, 90), "stuck")
+    # Seven alike are no run of eight; a source that never moves isn't judged.
+    few = [("s", Decimal(200), Decimal("210") if 60 <= i < 67 else r[2], False) for i, r in enumerate(rows[:60] + rows[90:])]
+    assert spikes.abnormal(readings(spark, few)).count() == 0
+    # In a source cut into chunks, of a run of twice the length less one at least the longer part is found.
+    many = rows + [("s", Decimal(200), Decimal(str(round(200 * 10 ** rng.normal(0.02, 0.02), 4))), False) for _ in range(1000)]
+    inner = readings(spark, many).selectExpr("reading_id", "source", "at", "cast(log10(new_value / old_value) as double) as y", "cast(old_value - new_value as double) as delta")
+    found = {r.reading_id for r in spikes.frozen(spikes.innovations(inner), chunk_rows=1000).where("frozen").collect()}
+    assert found <= set(range(60, 90)) and len(found) >= 15
+
+
+def test_repeated_null_times_and_extra_columns(spark):
+    rows = readings(spark, [("s", Decimal(100), Decimal(100 + i % 7), False) for i in range(40)])
+    both = rows.withColumn("at", F.when(F.col("reading_id") % 2 == 0, F.col("at"))).withColumn("innovation", F.lit("x")).withColumn("b", F.lit(1))
+    assert spikes.abnormal(both.unionByName(both)).where("reason = 'spike'").count() == 0
 
 
 AMOUNT = "grp string, source string, rank int, entity long, amount double, power int"
