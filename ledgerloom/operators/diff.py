@@ -19,44 +19,58 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.groupBy(*keys).agg(picked.alias("_last")).select(*keys, "_last.row.*")
 
 
-def _digests(df: DataFrame, keys: list[str], fields: list[str], depth: int) -> DataFrame:
-    hashed = df.withColumn("_spot", F.xxhash64(F.lit(7), *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])).withColumn("_leaf", F.shiftrightunsigned("_spot", 64 - depth) if depth else F.lit(0).cast("long"))
+def digested(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """keys, fields, `_spot` (the key's place in hash order) and `_row` (a hash of keys and fields), computed once."""
+    spot = F.xxhash64(F.lit(7), *[F.coalesce(F.col(k).cast("string"), F.lit("\0")) for k in keys])
     # Nulls must weigh: xxhash64 skips them, so each field goes in with its presence.
     row = F.xxhash64(*[x for c in [*keys, *fields] for x in (F.col(c).cast("string"), F.col(c).isNull())])
-    return hashed.withColumn("_row", row)
+    return df.select(*keys, *fields, spot.alias("_spot"), row.alias("_row"))
 
 
-def _summed(digests: DataFrame, side: str) -> DataFrame:
-    return digests.groupBy("_leaf").agg(F.count(F.lit(1)).alias(f"{side}_n"), F.bit_xor("_row").alias(f"{side}_x"), F.sum(F.shiftright("_row", 20)).alias(f"{side}_s"))
+def _range(depth: int) -> Column:
+    """The range of 2**depth that a key's place in hash order lies in."""
+    return F.shiftrightunsigned("_spot", 64 - depth) if depth else F.lit(0).cast("long")
 
 
-def mismatched_ranges(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], depth: int, bits: int = 1) -> DataFrame:
-    """Leaf ranges (of the keys' hash order) whose checksums differ.
+def range_sums(rows: DataFrame, alive: DataFrame | None, above: int, depth: int, side: str) -> DataFrame:
+    """Checksums of the 2**depth ranges, of rows in the ranges `alive` at depth `above` only.
 
-    Each side is summed once into 2**depth leaf ranges; the higher ranges are
-    sums of their halves. Then from the top: ranges with equal checksums are
-    left, the others are bisected `bits` times and compared again. A checksum is
-    the row count, the xor and a sum of the row hashes, which sums without order.
+    A checksum is the row count, the xor and a sum of the row hashes, which sums
+    without order. Rows of other ranges are left before anything is shuffled.
     """
-    sums = _summed(_digests(left, keys, fields, depth), "l").join(_summed(_digests(right, keys, fields, depth), "r"), "_leaf", "full_outer")
-    sums = cut(sums.na.fill(0, ["l_n", "l_x", "l_s", "r_n", "r_x", "r_s"]))
-    unequal = (F.col("l_n") != F.col("r_n")) | (F.col("l_x") != F.col("r_x")) | (F.col("l_s") != F.col("r_s"))
+    if alive is not None:
+        rows = rows.join(alive.select(F.col("range").alias("_up")), _range(above) == F.col("_up"), "left_semi")
+    return rows.groupBy(_range(depth).alias("range")).agg(F.count(F.lit(1)).alias(f"{side}_n"), F.bit_xor("_row").alias(f"{side}_x"), F.sum(F.shiftright("_row", 20)).alias(f"{side}_s"))
 
-    def level(k: int) -> DataFrame:
-        up = F.shiftrightunsigned("_leaf", depth - k) if k else F.lit(0).cast("long")
-        # bit_xor of xors and sums of sums: a range's checksum is made of its leaves'
-        return sums.groupBy(up.alias("range")).agg(*[F.sum(c).alias(c) for c in ("l_n", "l_s", "r_n", "r_s")], *[F.bit_xor(c).alias(c) for c in ("l_x", "r_x")]).where(unequal).select("range")
 
-    steps = [*range(0, depth, bits), depth]
-    alive = level(0)
-    before = 0
-    for k in steps[1:]:
-        alive = level(k).join(alive.withColumnRenamed("range", "parent"), F.shiftrightunsigned("range", k - before) == F.col("parent"), "left_semi")
-        before = k
-    return alive.withColumnRenamed("range", "_leaf")
+def unequal_ranges(left: DataFrame, right: DataFrame, alive: DataFrame | None, above: int, depth: int) -> DataFrame:
+    """(range, l_n, r_n): ranges at `depth`, within those `alive` at depth `above`, whose checksums differ."""
+    sums = range_sums(left, alive, above, depth, "l").join(range_sums(right, alive, above, depth, "r"), "range", "full_outer")
+    sums = sums.na.fill(0, ["l_n", "l_x", "l_s", "r_n", "r_x", "r_s"])
+    return sums.where((F.col("l_n") != F.col("r_n")) | (F.col("l_x") != F.col("r_x")) | (F.col("l_s") != F.col("r_s"))).select("range", "l_n", "r_n")
 
 
-def difference(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), rows_per_leaf: int = 16, bits: int = 4) -> DataFrame:
+def mismatched_ranges(left: DataFrame, right: DataFrame, rows_per_leaf: int = 16, bits: int = 8) -> tuple[DataFrame, int]:
+    """(range, l_n, r_n) of the leaf ranges whose checksums differ, and the leaves' depth.
+
+    left and right are `digested`. From one range that holds everything,
+    unequal ranges are bisected `bits` times a round and summed again, so each
+    round reads and shuffles only rows of the ranges that still differ. Leaves
+    hold about `rows_per_leaf` rows; equal copies cost one sum of each.
+    """
+    alive = cut(unequal_ranges(left, right, None, 0, 0))
+    top = alive.first()
+    total = max(top.l_n, top.r_n) if top else 0
+    leaf = max(1, min(48, (total // rows_per_leaf).bit_length()))
+    above = 0
+    while top and above < leaf:
+        depth = min(leaf, above + bits)
+        alive = cut(unequal_ranges(left, right, alive if above else None, above, depth))
+        above = depth
+    return alive, above
+
+
+def difference(left: DataFrame, right: DataFrame, keys: list[str], fields: list[str], names: tuple[str, str] = ("left", "right"), rows_per_leaf: int = 16, bits: int = 8) -> DataFrame:
     """Rows missing on either side and fields whose values differ.
 
     Both sides have one row per key (see `latest`) and values brought to one
@@ -68,13 +82,11 @@ def difference(left: DataFrame, right: DataFrame, keys: list[str], fields: list[
     compared like others. Columns beside keys and fields are ignored; an empty
     side makes every row of the other missing.
     """
-    left, right = cut(left.select(*keys, *fields)), cut(right.select(*keys, *fields))
-    total = max(left.count(), right.count(), 1)
-    depth = max(1, min(48, (total // rows_per_leaf).bit_length()))
-    leaves = mismatched_ranges(left, right, keys, fields, depth, bits)
+    left, right = cut(digested(left, keys, fields)), cut(digested(right, keys, fields))
+    leaves, depth = mismatched_ranges(left, right, rows_per_leaf, bits)
 
     def side(df: DataFrame, tag: str) -> DataFrame:
-        kept = _digests(df, keys, fields, depth).join(leaves, "_leaf", "left_semi")
+        kept = df.join(leaves.select(F.col("range").alias("_up")), _range(depth) == F.col("_up"), "left_semi")
         return kept.select(*[F.col(k).alias(f"{tag}_{i}") for i, k in enumerate(keys)], F.struct(*fields).alias(tag))
 
     a, b = side(left, "l"), side(right, "r")
