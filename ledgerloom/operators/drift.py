@@ -97,16 +97,7 @@ def _events(spans: DataFrame) -> DataFrame:
     return told.select("file_kind", "feed", "field", F.explode(events).alias("e")).select("file_kind", "feed", "field", "e.*")
 
 
-def _content(fields: DataFrame, cat: DataFrame, keys: dict[str, str]) -> DataFrame:
-    """(feed, seq, key, field, form): what each record of each file says in each field, its latest copy."""
-    key_of = F.create_map(*[F.lit(x) for kv in keys.items() for x in kv])
-    seqs = cat.select("feed", "file_name", "seq").distinct()
-    key_rows = fields.where(F.col("field") == F.element_at(key_of, F.col("file_kind"))).select("record_id", content_form(F.col("text")).alias("key"))
-    told = fields.where("type is not null").select("record_id", "feed", "file_name", "field", content_form(F.col("text")).alias("form"))
-    return told.join(key_rows, "record_id").join(seqs, ["feed", "file_name"])
-
-
-def renames(events: DataFrame, fields: DataFrame, cat: DataFrame, keys: dict[str, str], share: float = 0.8, least: int = 2) -> DataFrame:
+def renames(events: DataFrame, records: DataFrame, cat: DataFrame, keys: dict[str, str], nested: str = "values", share: float = 0.8, least: int = 2) -> DataFrame:
     """Endings and starts of one file that are one field under two names.
 
     (feed, seq, old_field, new_field, same, compared). Records that come again
@@ -120,14 +111,17 @@ def renames(events: DataFrame, fields: DataFrame, cat: DataFrame, keys: dict[str
     open_pairs = cut(ended.join(started, ["feed", "seq"]))
     wanted_old = open_pairs.select("feed", (F.col("seq") - 1).alias("seq"), F.col("old_field").alias("field")).distinct()
     wanted_new = open_pairs.select("feed", "seq", F.col("new_field").alias("field")).distinct()
-    # Content only of the fields that end or start, found by the catalogue's few rows.
     asked = wanted_old.unionByName(wanted_new).distinct()
     files = cat.select("feed", "file_name", "seq").distinct()
-    some = fields.join(asked.join(files, ["feed", "seq"]).select("feed", "file_name", F.col("field").alias("asked")), ["feed", "file_name"]).where(F.col("field") == F.col("asked")).drop("asked")
+    wanted = asked.join(files, ["feed", "seq"]).select("feed", "file_name", "seq", F.col("field").alias("asked"))
+    # A file's fields in question are few: one array per file travels with its records.
+    per_file = cut(wanted.groupBy("feed", "file_name", "seq").agg(F.collect_set("asked").alias("asked")))
     key_of = F.create_map(*[F.lit(x) for kv in keys.items() for x in kv])
-    key_files = asked.join(files, ["feed", "seq"]).select("feed", "file_name").distinct()
-    key_rows = fields.join(key_files, ["feed", "file_name"], "left_semi").where(F.col("field") == F.element_at(key_of, F.col("file_kind"))).select("record_id", content_form(F.col("text")).alias("key"))
-    told = some.where("type is not null").select("record_id", "feed", "file_name", "field", content_form(F.col("text")).alias("form")).join(key_rows.distinct(), "record_id").join(files, ["feed", "file_name"])
+    fields = fields_of(records.join(per_file.select("feed", "file_name"), ["feed", "file_name"], "left_semi"), nested)
+    is_key = F.col("field") == F.element_at(key_of, F.col("file_kind"))
+    some = cut(fields.where("type is not null").join(per_file, ["feed", "file_name"]).where(F.array_contains("asked", F.col("field")) | is_key).select("record_id", "feed", "seq", "field", is_key.alias("is_key"), F.array_contains("asked", F.col("field")).alias("in_question"), content_form(F.col("text")).alias("form")))
+    key_rows = some.where("is_key").groupBy("record_id").agg(F.min("form").alias("key"))
+    told = some.where("in_question").join(key_rows, "record_id")
     told = cut(told.groupBy("feed", "seq", "key", "field").agg(F.max_by("form", "record_id").alias("form")))
     before = told.join(wanted_old, ["feed", "seq", "field"], "left_semi").select("feed", (F.col("seq") + 1).alias("seq"), "key", F.col("field").alias("old_field"), F.col("form").alias("old_form"))
     after = told.join(wanted_new, ["feed", "seq", "field"], "left_semi").select("feed", "seq", "key", F.col("field").alias("new_field"), F.col("form").alias("new_form"))
@@ -155,10 +149,9 @@ def changes(records: DataFrame, keys: dict[str, str] = RECORD_KEYS, nested: str
     seen only as null is present without a type. A rename is told only as such.
     An empty table gives no rows; further columns are ignored.
     """
-    fields = cut(fields_of(records, nested))
-    cat = cut(catalogue(fields))
+    cat = cut(catalogue(fields_of(records, nested)))
     events = cut(_events(lifespans(cat)))
-    moved = cut(renames(events, fields, cat, keys))
+    moved = cut(renames(events, records, cat, keys, nested))
     lost = moved.select("feed", "seq", F.col("old_field").alias("field"), F.lit("removed").alias("change"))
     won = moved.select("feed", "seq", F.col("new_field").alias("field"), F.lit("added").alias("change"))
     plain = events.join(lost.unionByName(won), ["feed", "seq", "field", "change"], "left_anti")
@@ -177,12 +170,23 @@ def alias_table(moved: DataFrame, cat: DataFrame) -> DataFrame:
     return used.join(best, "root").select("file_kind", "field", "canonical", "files")
 
 
+#: The casts there are, by the type a field's values are brought to. Of a field's
+#: value they have `v` (the variant, unwrapped), `plain` (a scalar's own text) and `json`.
+CASTS = {
+    "number": "try_cast(plain as decimal(38,6))",
+    "boolean": "try_cast(plain as boolean)",
+    "string": "coalesce(plain, json)",
+    "array": "coalesce(json, plain)",
+    "object": "coalesce(json, plain)",
+}
+
+
 def casts(cat: DataFrame, aliases: DataFrame) -> DataFrame:
-    """The cast of every (field, type) to its canonical field's main type, as an SQL expression."""
+    """The cast of every (field, type) to its canonical field's main type, as the SQL expression that `consistent` runs."""
     seen = cat.where("type is not null").join(aliases.drop("files"), ["file_kind", "field"]).groupBy("file_kind", "canonical", "field", "type").agg(F.count(F.lit(1)).alias("files"))
     per_type = seen.groupBy("file_kind", "canonical", "type").agg(F.sum("files").alias("files"))
     main = per_type.groupBy("file_kind", "canonical").agg(F.max_by("type", F.struct("files", "type")).alias("to_type"))
-    sql = F.when(F.col("type") == F.col("to_type"), "text").when(F.col("to_type") == "number", "try_cast(text as decimal(38,6))").when(F.col("to_type") == "boolean", "try_cast(text as boolean)").when(F.col("to_type") == "array", "array(text)").otherwise("cast(text as string)")
+    sql = F.element_at(F.create_map(*[F.lit(x) for kv in CASTS.items() for x in kv]), F.col("to_type"))
     return seen.join(main, ["file_kind", "canonical"]).select("file_kind", "field", "canonical", F.col("type").alias("from_type"), "to_type", "files", sql.alias("cast"))
 
 
@@ -191,26 +195,33 @@ def consistent(records: DataFrame, keys: dict[str, str] = RECORD_KEYS, nested: s
 
     (record_id, feed, file_name, file_kind, written_at, numbers, flags, texts):
     three maps by canonical field, for fields whose main type is number, boolean
-    or anything else (texts; arrays and objects as JSON). A number written as
-    text becomes a number; wrapped values ({"text": x}, [x]) are unwrapped; a
-    value that can't be cast stays in texts. Two old names of one field in one
-    record keep the canonical one's value. Maps of any number of fields, so the
-    drift needs no change of the table's schema.
+    or anything else (texts; arrays and objects as JSON). Each value goes through
+    the cast generated for its field and type (`casts`); a number written as
+    text becomes a number. Wrapped values ({"text": x}, and [x] where the field
+    isn't an array) are unwrapped by path; arrays of more values, other objects
+    and all characters of a text stay as they are; a value that can't be cast
+    stays in texts. Two old names of one field in one record keep the canonical
+    one's value. Maps of any number of fields, so the drift needs no change of
+    the table's schema.
     """
-    fields = cut(fields_of(records, nested))
-    cat = cut(catalogue(fields))
-    moved = renames(_events(lifespans(cat)), fields, cat, keys)
+    cat = cut(catalogue(fields_of(records, nested)))
+    moved = renames(_events(lifespans(cat)), records, cat, keys, nested)
     aliases = cut(alias_table(cut(moved), cat))
-    main = casts(cat, aliases).select("file_kind", "field", "to_type").distinct()
-    named = fields.join(aliases.drop("files"), ["file_kind", "field"]).join(main, ["file_kind", "field"], "left")
-    bare = F.regexp_replace("text", r'^\s*(?:\{\s*"text"\s*:\s*|\[\s*)?(")?(.*?)\1?\s*[\]}]?\s*$', "$2")
-    inner = F.when(F.col("type").isin("array", "object") & F.col("to_type").isin("array", "object"), F.col("text")).otherwise(bare)
-    cell = named.where("type is not null").withColumn("inner", inner)
-    one = cell.groupBy("record_id", "feed", "file_name", "file_kind", "written_at", "canonical", "to_type").agg(F.max_by("inner", F.struct((F.col("field") == F.col("canonical")).alias("own"), "field")).alias("inner"))
-    number = F.when(F.col("to_type") == "number", F.col("inner").try_cast("decimal(38,6)"))
-    flag = F.when(F.col("to_type") == "boolean", F.col("inner").try_cast("boolean"))
-    one = one.withColumn("number", number).withColumn("flag", flag)
+    generated = cut(casts(cat, aliases)).select("file_kind", "field", "canonical", F.col("from_type").alias("type"), "to_type", "cast")
+    named = fields_of(records, nested).where("type is not null").join(generated, ["file_kind", "field", "type"])
+    whole = F.parse_json("text")
+    only_text = (F.col("type") == "object") & (F.size(F.expr("json_object_keys(text)")) == 1) & F.expr("json_object_keys(text)[0] = 'text'")
+    lone = (F.col("type") == "array") & (F.col("to_type") != "array") & (F.expr("json_array_length(text)") == 1)
+    v = F.when(only_text, F.try_variant_get(whole, "$.text", "variant")).when(lone, F.try_variant_get(whole, "$[0]", "variant")).otherwise(whole)
+    opened = named.withColumn("v", v).withColumn("inner_type", _type(F.col("v")))
+    plain = F.when(F.col("inner_type").isin("string", "number", "boolean"), F.try_variant_get("v", "$", "string"))
+    forms = opened.withColumn("plain", plain).withColumn("json", F.when(F.col("plain").isNull(), F.to_json("v")))
+    one = forms.groupBy("record_id", "feed", "file_name", "file_kind", "written_at", "canonical", "cast").agg(F.max_by(F.struct("plain", "json"), F.struct((F.col("field") == F.col("canonical")).alias("own"), "field")).alias("m")).select("*", "m.*")
+    # The generated casts are run: each row by the one its field and type have.
+    run = lambda kind: F.when(F.col("cast") == CASTS[kind], F.expr(CASTS[kind]))
+    one = one.withColumn("number", run("number")).withColumn("flag", run("boolean"))
+    one = one.withColumn("kept", F.coalesce(run("array"), run("string"), F.coalesce("plain", "json")))
     pairs = lambda value, keep: F.map_from_entries(F.array_sort(F.collect_list(F.when(keep, F.struct("canonical", value)))))
     return one.groupBy("record_id", "feed", "file_name", "file_kind", "written_at").agg(
-        pairs("number", F.col("number").isNotNull()).alias("numbers"), pairs("flag", F.col("flag").isNotNull()).alias("flags"), pairs("inner", F.col("number").isNull() & F.col("flag").isNull()).alias("texts")
+        pairs("number", F.col("number").isNotNull()).alias("numbers"), pairs("flag", F.col("flag").isNotNull()).alias("flags"), pairs("kept", F.col("number").isNull() & F.col("flag").isNull()).alias("texts")
     )

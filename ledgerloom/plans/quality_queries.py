@@ -28,9 +28,9 @@ def p2_lifespans(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_casts(spark: SparkSession, d: str) -> DataFrame:
     """The casts generated from the alias table."""
-    fields = cut(drift.fields_of(table(spark, d, "raw_payloads")))
-    cat = cut(drift.catalogue(fields))
-    moved = cut(drift.renames(drift._events(drift.lifespans(cat)), fields, cat, drift.RECORD_KEYS))
+    records = table(spark, d, "raw_payloads")
+    cat = cut(drift.catalogue(drift.fields_of(records)))
+    moved = cut(drift.renames(drift._events(drift.lifespans(cat)), records, cat, drift.RECORD_KEYS))
     return drift.casts(cat, drift.alias_table(moved, cat))
 
 

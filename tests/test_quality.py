@@ -92,7 +92,14 @@ def test_equal_ranges_are_not_compared(spark):
     rows = [(f"k{i}", 1, "x", "w", "") for i in range(2000)]
     a = spark.createDataFrame(rows, SIDE)
     b = spark.createDataFrame([*rows[:-1], ("k1999", 1, "y", "w", "")], SIDE)
-    assert diff.mismatched_ranges(a, b, ["k", "y"], ["v", "w"], 8, 2).count() == 1
+    x, y = (diff.digested(t, ["k", "y"], ["v", "w"]) for t in (a, b))
+    leaves, depth = diff.mismatched_ranges(x, y, bits=3)
+    assert depth == 7 and leaves.count() == 1
+    # Of 2000 rows each round sums only those of the range that still differs.
+    top = diff.unequal_ranges(x, y, None, 0, 3)
+    below = diff.range_sums(x, top, 3, 6, "l").agg({"l_n": "sum"}).first()[0]
+    assert top.count() == 1 and below == top.first().l_n < 400
+    assert diff.mismatched_ranges(x, x)[0].count() == 0
 
 
 def test_latest_state(spark):
@@ -193,3 +200,13 @@ def test_pairwise_scale_and_offset(spark):
     got = {r.b: (r.power, r.n_links) for r in units.pairwise_scales(links).collect()}
     assert got == {"b": (3.0, 20), "c": (None, 1)}
     assert units.pairwise_scales(links).where("b = 'b'").first().offset == 5.0
+
+
+def test_consistent_values_keep_their_characters(spark):
+    said = 'say "x" \\ end\nnext'
+    base = [{"page": i, "name": said, "list": ["a", "b"], "size": i, "wrapped": {"text": said}, "o": {"a": 1, "b": [2]}} for i in range(5)]
+    odd = [{"page": 5 + i, "name": ["a", "b"], "list": "lone", "size": [7], "wrapped": said, "o": {"text": 3}} for i in range(2)]
+    rows = {r.numbers["page"]: r for r in drift.consistent(records(spark, [base, base, odd])).collect()}
+    assert rows[0].texts["name"] == said and rows[0].texts["list"] == '["a","b"]' and rows[0].texts["wrapped"] == said
+    assert json.loads(rows[0].texts["o"]) == {"a": 1, "b": [2]}
+    assert rows[5].texts["name"] == '["a","b"]' and rows[5].texts["list"] == "lone" and rows[5].numbers["size"] == 7 and rows[5].texts["wrapped"] == said
