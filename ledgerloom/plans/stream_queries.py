@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ledgerloom.plans.window_queries import SQL as BATCH
+from ledgerloom.session import shared_folder
 from ledgerloom.streaming import events as E
 
 
 def _folder(spark) -> str:
-    """A new folder in the shared checkpoint folder; a temporary one only where the session has none."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    """A new folder in the session's shared folder."""
+    return f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def stream_hourly(spark, d):

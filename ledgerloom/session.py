@@ -38,17 +38,27 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: `spark.checkpoint.dir` of the session.
 
-    The folder is the cluster's `spark.checkpoint.dir`. Only where the session
-    has none (tests, a single machine) a temporary one is made.
+    Only a local session without one (tests, a single machine) gets a temporary
+    folder; on a cluster that would be a path only the driver has, so it raises.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if folder:
+        return folder
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
+    held = context._jsc.sc().getCheckpointDir()
+    return held.get() if not held.isEmpty() else tempfile.mkdtemp(prefix="ledgerloom-")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and go on from there."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
