@@ -5,38 +5,43 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import small
 from ledgerloom.session import cut
 
 #: The seeds' masks; a 0 is a position that is ignored.
 MASKS = ((1, 1, 1, 1), (1, 1, 0, 1, 1), (1, 0, 1, 1, 0, 1), (1, 1, 0, 0, 1, 1), (1, 0, 1, 0, 1, 0, 1))
-#: A gap of mismatching words costs this much against one for a match, and a piece must be worth LEAST.
-GAP_COST, LEAST = 3, 7
+#: Items of fewer words than the first also have seeds of three words; of fewer than the second, only themselves as one seed.
+SHORT, SHORTEST = 12, 7
+#: A mismatching, left out or put in word costs this much against one for a match.
+GAP_COST = 3
+#: Matches, less costs, that stretches on one diagonal must have to be chained with others, and words that may lie between two.
+STRETCH, GAP = 3, 3
 #: Words that make a passage of several items a stock sentence.
 STOCK_RUN = 6
-#: Evaluation words told to the workers at once; more items go in further blocks over the documents.
-BLOCK_WORDS = 2_000_000
+#: Bits of the seed filter for each item seed, and at most; more seeds let more documents' seeds pass to the join, which is exact.
+FILTER_BITS, MOST_BITS, PROBES = 64, 1 << 27, 4
 #: Letters without a decomposition, as plain letters.
 PLAIN = {"ł": "l", "đ": "d", "ø": "o", "ß": "ss", "æ": "ae", "œ": "oe", "ı": "i"}
 #: Cyrillic and Greek letters that look like Latin ones.
 LOOKALIKE = dict(zip("аеорсхуіѕјкмтнвαορντικ", "aeopcxyisjkmthbaopvtik", strict=True))
 #: What scanners take for one another, brought to one letter.
 SCANNED = {"0": "o", "1": "l", "i": "l", "|": "l", "5": "s", "8": "b"}
-
-#: A diagonal is coded as item * _LANE + shift + _LANE / 2; texts of fewer than half so many words.
-_LANE = 1 << 40
+#: Odd multipliers of the words' hashes at a seed's places.
+_MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) & 0xFFFFFFFFFFFFFFFF | 1 for k in range(32)], dtype=np.uint64)
 
 _BROKEN = re.compile(r"(?<=\w)[-‐‑­]\s*[\r\n]+\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ­͏​-‏‪-‮⁠-⁩︀-️﻿]")
 _TABLE = str.maketrans(LOOKALIKE | PLAIN | SCANNED)
-RESULT = "doc_id long, item_id long, covered array<int>, own array<int>, text long"
+#: Words whose hashes a task remembers.
+_REMEMBERED = 1_000_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -80,80 +85,179 @@ def _edits(a: str, b: str, allowed: int) -> bool:
     return _edits(x[1:], y[1:], allowed - 1) or _edits(x[1:], y, allowed - 1) or _edits(x, y[1:], allowed - 1)
 
 
-def shapes_of(words: list[str]) -> np.ndarray:
-    """Length, first and last letter of each word, and whether it is mostly digits: what a slip mostly leaves."""
-    rows = [(len(w), ord(w[0]), ord(w[-1]), sum(map(w.count, "0123456789")) * 2 > len(w)) for w in words]
-    return np.array(rows, dtype=np.int64).reshape(len(words), 4).T
-
-
-def may_be_near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Pairs of words, by their shapes, that near could accept."""
-    least = np.minimum(a[0], b[0])
-    free = np.where(least >= 9, 2, 1)
-    return (least >= 4) & (np.abs(a[0] - b[0]) <= free) & (b[3] == 0) & ((free == 2) | (a[1] == b[1]) | (a[2] == b[2]))
-
-
-class Items:
-    """Evaluation items as numbers: words, seeds sorted by code, stock words."""
-
-    def __init__(self, rows: list[tuple[int, str | None]]):
-        self.ids = [r[0] for r in rows]
-        self.words = [words_of(r[1]) for r in rows]
-        self.vocabulary: dict[str, int] = {}
-        for words in self.words:
-            for w in words:
-                self.vocabulary.setdefault(w, len(self.vocabulary))
-        self.codes = [np.array([self.vocabulary[w] for w in words], dtype=np.int64) for words in self.words]
-        self.shapes = [shapes_of(words) for words in self.words]
-        self.stock = self._stock()
-        per_mask = []
-        for k, mask in enumerate(MASKS):
-            code, item, at = [], [], []
-            for i, ids in enumerate(self.codes):
-                c = self.seeds(ids, mask)
-                code.append(c)
-                item.append(np.full(len(c), i, dtype=np.int32))
-                at.append(np.arange(len(c), dtype=np.int32))
-            code, item, at = np.concatenate(code or [np.empty(0, np.int64)]), np.concatenate(item or [np.empty(0, np.int32)]), np.concatenate(at or [np.empty(0, np.int32)])
-            order = np.argsort(code, kind="stable")
-            per_mask.append((MASKS[k], code[order], item[order], at[order]))
-        self.index = per_mask
-
-    def seeds(self, ids: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
-        """Codes of the mask at each place; negative where a kept word is in no item."""
-        n = len(ids) - len(mask) + 1
-        if n <= 0:
-            return np.empty(0, dtype=np.int64)
-        code = np.zeros(n, dtype=np.int64)
-        unknown = np.zeros(n, dtype=bool)
-        for k, keep in enumerate(mask):
-            if keep:
-                part = ids[k : k + n]
-                unknown |= part < 0
-                code = (code * np.int64(1_000_003) + part + 1) & np.int64(0x7FFFFFFFFFFFFFFF)
-        code[unknown] = -1
-        return code
-
-    def _stock(self) -> list[np.ndarray]:
-        """Words in runs that two items of otherwise different content share."""
-        seen: dict[tuple[int, ...], set[int]] = {}
-        for i, ids in enumerate(self.codes):
-            for p in range(len(ids) - STOCK_RUN + 1):
-                seen.setdefault(tuple(ids[p : p + STOCK_RUN]), set()).add(i)
-        whole = [tuple(ids) for ids in self.codes]
+def may_be_near(a: str, b: str) -> bool:
+    """A cheap test that near can only pass with."""
+    least = min(len(a), len(b))
+    return least >= 4 and abs(len(a) - len(b)) <= (2 if least >= 9 else 1) and (least >= 9 or a[0] == b[0] or a[-1] == b[-1])
+
+
+def floor_of(n: int, share: float = 1 / 3) -> int:
+    """Words that a piece of an item of n words must be worth: seven, fewer for items of which a third is less, all of the shortest."""
+    return n if n < SHORTEST else max(3, min(SHORTEST, -int(-(n * share) // 1)))
+
+
+def masks_of(n: int) -> list[tuple[int, ...]]:
+    """The seeds' masks of an item of n words."""
+    if n < SHORTEST:
+        return [(1,) * n] if n else []
+    return [*MASKS, (1, 1, 1)] if n < SHORT else list(MASKS)
+
+
+class Hasher:
+    """64-bit hashes of words, remembered."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        if len(known) > _REMEMBERED:
+            known.clear()
+        for w in set(words) - known.keys():
+            known[w] = xxhash.xxh3_64_intdigest(w)
+        return np.array([known[w] for w in words], dtype=np.uint64)
+
+
+def seeds(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
+    """Codes of a mask at each place of a run of word hashes, as signed 64-bit numbers."""
+    n = len(hashes) - len(mask) + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64)
+    code = np.full(n, xxhash.xxh3_64_intdigest(bytes(mask)), dtype=np.uint64)
+    for k, keep in enumerate(mask):
+        if keep:
+            code += hashes[k : k + n] * _MULTIPLIERS[k]
+    code ^= code >> np.uint64(31)
+    code *= np.uint64(0xBF58476D1CE4E5B9)
+    return (code ^ (code >> np.uint64(29))).view(np.int64)
+
+
+def _read_items(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hasher = Hasher()
+    for pdf in batches:
         out = []
-        for i, ids in enumerate(self.codes):
-            flags = np.zeros(len(ids), dtype=bool)
-            runs = [p for p in range(len(ids) - STOCK_RUN + 1) if any(j != i and whole[j] != whole[i] for j in seen[tuple(ids[p : p + STOCK_RUN])])]
-            for p in runs:
-                flags[p : p + STOCK_RUN] = True
-            # Items that are mostly one another's text are variants of one passage, not stock.
-            out.append(flags if flags.sum() * 2 <= len(ids) else np.zeros(len(ids), dtype=bool))
-        return out
-
-
-def pieces(equal: np.ndarray) -> list[tuple[int, int]]:
-    """Maximal stretches worth at least LEAST, a match counting 1 and a mismatch -GAP_COST."""
+        for item_id, passage in zip(pdf.item_id, pdf.passage, strict=True):
+            words = words_of(passage)
+            if words:
+                text = " ".join(words)
+                out.append((item_id, xxhash.xxh3_64_intdigest(f"{item_id} {text}") >> 1, xxhash.xxh3_64_intdigest(text) >> 1, text, len(words), seeds(hasher(words), (1,) * STOCK_RUN).tolist()))
+        yield pd.DataFrame(out, columns=["item_id", "item", "content", "words", "n", "runs"])
+
+
+def items_of(items: DataFrame) -> DataFrame:
+    """(item, item_id, words, n, stock) of each different item: its folded words, and the places that are stock.
+
+    Stock are runs of STOCK_RUN words that items of other content share, told by
+    one aggregation over all items' hashed runs. Items that are mostly one
+    another's text are variants of one passage, not stock.
+    """
+    told = items.where("item_id is not null and passage is not null").select("item_id", "passage").mapInPandas(_read_items, "item_id long, item long, content long, words string, n int, runs array<long>")
+    told = cut(told.dropDuplicates(["item"]))
+    runs = told.select("item", "content", F.posexplode("runs").alias("at", "run"))
+    shared = runs.groupBy("run").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low != high").select("run")
+    places = runs.join(shared, "run").select("item", F.explode(F.sequence(F.col("at"), F.col("at") + STOCK_RUN - 1)).alias("place")).groupBy("item").agg(F.collect_set("place").alias("stock"))
+    none = F.array().cast("array<int>")
+    held = told.join(places, "item", "left").select("item", "item_id", "words", "n", F.coalesce("stock", none).alias("stock"))
+    return cut(held.withColumn("stock", F.when(F.size("stock") * 2 <= F.col("n"), F.col("stock")).otherwise(none)))
+
+
+def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hasher = Hasher()
+    for pdf in batches:
+        out = []
+        for item, text, n, stock in zip(pdf["item"], pdf.words, pdf.n, pdf.stock, strict=True):
+            hashes = hasher(text.split(" "))
+            own = np.ones(n, dtype=np.int64)
+            own[list(stock)] = 0
+            held = np.concatenate([[0], np.cumsum(own)])
+            for mask in masks_of(n):
+                code = seeds(hashes, mask)
+                at = np.flatnonzero(held[len(mask) :] > held[: n - len(mask) + 1])  # a seed of stock alone finds nothing that counts
+                out.append(pd.DataFrame({"code": code[at], "item": item, "item_at": at.astype(np.int32)}))
+        if out:
+            yield pd.concat(out)
+
+
+def seeds_of(items: DataFrame) -> DataFrame:
+    """(code, item, item_at): the seeds of `items_of`, but those that lie in stock alone."""
+    return items.mapInPandas(_item_seeds, "code long, item long, item_at int")
+
+
+def _probe(code: np.ndarray, bits: int, k: int) -> np.ndarray:
+    """The filter's k-th place of each code."""
+    u = code.view(np.uint64)
+    return ((u + np.uint64(k) * ((u >> np.uint64(32)) | np.uint64(1))) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _marks(bits: int):
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at = np.unique(np.concatenate([_probe(pdf.code.to_numpy(dtype=np.int64), bits, k) for k in range(PROBES)]))
+            yield pd.DataFrame({"word": at >> 6, "mark": (np.uint64(1) << (at & 63).astype(np.uint64)).view(np.int64)})
+
+    return mark
+
+
+def seed_filter(codes: DataFrame) -> np.ndarray:
+    """A Bloom filter of all codes, as 64-bit words: made by an aggregation, MOST_BITS at most."""
+    n = codes.count()
+    bits = min(MOST_BITS, max(1 << 12, 1 << (FILTER_BITS * n).bit_length()))
+    words = codes.select("code").mapInPandas(_marks(bits), "word long, mark long").groupBy("word").agg(F.bit_or("mark").alias("mark")).toPandas()
+    out = np.zeros(bits >> 6, dtype=np.int64)
+    out[words.word.to_numpy(dtype=np.int64)] = words.mark.to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def _scan(held, masks: list[tuple[int, ...]]):
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, hasher = held.value, Hasher()
+        bits = len(table) << 6
+        for pdf in batches:
+            told = [words_of(t) for t in pdf.text]
+            sizes = np.array([len(w) for w in told], dtype=np.int64)
+            ends = np.cumsum(sizes)
+            whose = np.repeat(np.arange(len(told)), sizes)
+            # All documents of the batch are one run of words; seeds across a border aren't any.
+            hashes = hasher([w for words in told for w in words])
+            doc, at, code = [], [], []
+            for mask in masks:
+                found = seeds(hashes, mask)
+                inside = np.flatnonzero(whose[: len(found)] == whose[len(mask) - 1 :]) if len(found) else np.empty(0, dtype=np.int64)
+                for k in range(PROBES):
+                    spot = _probe(found[inside], bits, k)
+                    inside = inside[(table[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1]
+                doc.append(whose[inside])
+                at.append(inside - (ends - sizes)[whose[inside]])
+                code.append(found[inside])
+            doc, at, code = np.concatenate(doc), np.concatenate(at), np.concatenate(code)
+            order = np.argsort(doc, kind="stable")
+            doc, at, code = doc[order], at[order], code[order]
+            hit, first = np.unique(doc, return_index=True)
+            if not len(hit):
+                continue
+            last = np.append(first[1:], len(doc))
+            texts = [" ".join(told[k]) for k in hit]
+            yield pd.DataFrame({
+                "doc_id": pdf.doc_id.to_numpy()[hit], "text": [xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], "words": texts,
+                "ats": [at[a:b].astype(np.int32) for a, b in zip(first, last, strict=True)], "codes": [code[a:b] for a, b in zip(first, last, strict=True)],
+            })
+
+    return scan
+
+
+def hit_documents(documents: DataFrame, codes: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
+    """(doc_id, text, words, ats, codes) of documents that may have a seed of an item: text is a hash of the words.
+
+    Documents are read once, in map tasks; what the filter lets pass is little
+    more than what the items' seeds hold, and the join with them decides.
+    """
+    held = documents.sparkSession.sparkContext.broadcast(seed_filter(codes))
+    docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    return docs.mapInPandas(_scan(held, masks), "doc_id long, text long, words string, ats array<int>, codes array<long>")
+
+
+def stretches(equal: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, worth) of maximal stretches worth STRETCH or more, a match counting 1 and a mismatch -GAP_COST."""
     found = []
     score = start = best = best_end = 0
     for k, e in enumerate(equal.tolist()):
@@ -163,95 +267,110 @@ def pieces(equal: np.ndarray) -> list[tuple[int, int]]:
             score += 1 if e else -GAP_COST
             if score > best:
                 best, best_end = score, k + 1
-            if score <= 0 or best - score > LEAST:
-                if best >= LEAST:
-                    found.append((start, best_end))
+            if score <= 0 or best - score > SHORTEST:
+                if best >= STRETCH:
+                    found.append((start, best_end, best))
                 score = best = 0
-    if best >= LEAST:
-        found.append((start, best_end))
+    if best >= STRETCH:
+        found.append((start, best_end, best))
     return found
 
 
-def found_pieces(words: list[str], items: Items) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(item, places, own) of each piece of an item in the words: its places in the item, and those that aren't stock."""
-    ids = np.fromiter((items.vocabulary.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-    lanes = []
-    for mask, code, item, at in items.index:
-        own = items.seeds(ids, mask)
-        places = np.flatnonzero(own >= 0)
-        if not len(places) or not len(code):
-            continue
-        lo, hi = np.searchsorted(code, own[places], "left"), np.searchsorted(code, own[places], "right")
-        hits = hi - lo
-        if hits.any():
-            # The hits of each place are one stretch of the sorted codes.
-            first = np.repeat(lo, hits)
-            k = first + np.arange(len(first)) - np.repeat(np.cumsum(hits) - hits, hits)
-            lanes.append(item[k].astype(np.int64) * _LANE + (np.repeat(places, hits) - at[k]) + _LANE // 2)
-    if not lanes:
-        return []
-    found = np.unique(np.concatenate(lanes))
-    shapes = shapes_of(words)
+def chained(parts: list[tuple[int, int, int, int]], least: int) -> list[list[tuple[int, int]]]:
+    """Chains of stretches (start, end, shift, worth) worth `least` or more, as lists of (start, end) in the item.
+
+    A stretch goes on another diagonal's if it follows it in the item and in the
+    document with at most GAP words between on either side; each word left out,
+    put in or told twice costs GAP_COST. The best chain that ends at each stretch
+    is kept; a stretch in a longer chain ends none of its own.
+    """
+    parts = sorted(parts)
+    worth, before, used = [p[3] for p in parts], [-1] * len(parts), [False] * len(parts)
+    for j, (s, e, shift, own) in enumerate(parts):
+        for i in range(j - 1, -1, -1):
+            s0, e0, shift0, _ = parts[i]
+            gap, gap_there = s - e0, (s + shift) - (e0 + shift0)
+            if shift == shift0 or abs(gap) > GAP or abs(gap_there) > GAP or e <= e0 or s <= s0:
+                continue
+            reached = worth[i] + own - GAP_COST * (abs(shift - shift0) + max(0, -gap, -gap_there)) // 2
+            if reached > worth[j] and reached > own:
+                worth[j], before[j] = reached, i
+    for i in before:
+        if i >= 0:
+            used[i] = True
     out = []
-    for i, shift in zip((found // _LANE).tolist(), (found % _LANE - _LANE // 2).tolist(), strict=True):
-        theirs = items.codes[i]
-        a, b = max(0, -shift), min(len(theirs), len(words) - shift)
-        equal = ids[a + shift : b + shift] == theirs[a:b]
-        if equal.sum() < LEAST - 2:
-            continue
-        for k in np.flatnonzero(~equal & may_be_near(shapes[:, a + shift : b + shift], items.shapes[i][:, a:b])).tolist():
-            # A slip can only bridge or lengthen a piece beside a match.
-            if (k and equal[k - 1]) or (k + 1 < len(equal) and equal[k + 1]):
-                equal[k] = near(words[a + shift + k], items.words[i][a + k])
-        for s, e in pieces(equal):
-            places = np.arange(a + s, a + e, dtype=np.int32)
-            own = places[~items.stock[i][places]]
-            if len(own):
-                out.append((i, places, own))
+    for j in range(len(parts)):
+        if not used[j] and worth[j] >= least:
+            chain, k = [], j
+            while k >= 0:
+                chain.append((parts[k][0], parts[k][1]))
+                k = before[k]
+            out.append(chain)
     return out
 
 
-def _scan(rows: list[tuple[int, str | None]]):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items = Items(rows)
-        for pdf in batches:
-            out = []
-            for doc_id, text in zip(pdf.doc_id, pdf.text, strict=True):
-                words = words_of(text)
-                if len(words) >= LEAST:
-                    found = found_pieces(words, items)
-                    same = int.from_bytes(blake2b(" ".join(words).encode(), digest_size=8).digest(), "big", signed=True) if found else 0
-                    out += [(doc_id, items.ids[i], places, own, same) for i, places, own in found]
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "covered", "own", "text"])
+def pieces_of(words: list[str], item: list[str], shifts: list[int]) -> list[np.ndarray]:
+    """Places in the item of each of its pieces in the words, tolerating substitutions, slips and insertions around the seeds' diagonals."""
+    n, parts = len(item), []
+    least = floor_of(n)
+    for shift in sorted(set(shifts)):
+        a, b = max(0, -shift), min(n, len(words) - shift)
+        here, there = words[a + shift : b + shift], item[a:b]
+        equal = np.array([x == y for x, y in zip(here, there, strict=True)], dtype=bool)
+        if equal.sum() < STRETCH - 1 and n >= SHORTEST:
+            continue
+        beside = np.zeros(len(equal), dtype=bool)
+        beside[1:] |= equal[:-1]
+        beside[:-1] |= equal[1:]
+        for k in np.flatnonzero(~equal & beside).tolist():
+            # A slip can only bridge or lengthen a piece beside a match.
+            equal[k] = may_be_near(here[k], there[k]) and near(here[k], there[k])
+        if n < SHORTEST:
+            if equal.all() and len(equal) == n:
+                return [np.arange(n, dtype=np.int32)]
+            continue
+        parts += [(a + s, a + e, shift, w) for s, e, w in stretches(equal)]
+    return [np.unique(np.concatenate([np.arange(s, e, dtype=np.int32) for s, e in chain])) for chain in chained(parts, least)]
 
-    return scan
+
+def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = []
+        split: dict[str, list[str]] = {}
+        for doc_id, item_id, item, text, words, passage, stock, shifts in zip(pdf.doc_id, pdf.item_id, pdf["item"], pdf.text, pdf.words, pdf.passage, pdf.stock, pdf.shifts, strict=True):
+            if words not in split:
+                split = {words: words.split(" ")}  # rows of a document mostly follow one another
+            theirs = passage.split(" ")
+            for places in pieces_of(split[words], theirs, list(shifts)):
+                own = np.setdiff1d(places, np.asarray(stock, dtype=np.int32))
+                if len(own):
+                    out.append((doc_id, item_id, item, len(theirs), places, own, text))
+        yield pd.DataFrame(out, columns=["doc_id", "item_id", "item", "item_words", "covered", "own", "text"])
 
 
 def pieces_in(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id, covered, own, text), a row per piece of an item in a document: its places in the item, those that aren't stock, and a hash of the document's words.
+    """(doc_id, item_id, item, item_words, covered, own, text), a row per piece of an item in a document: its places in the item, those that aren't stock, and a hash of the document's words.
 
-    documents(doc_id, text) are read once per block of items; a block is as many
-    items as have BLOCK_WORDS words, so what a worker holds is bounded, and the
-    items are looked up where the documents are: no text is shuffled. Rows with
-    a null id or text give nothing.
+    The documents' seeds and the items' seeds are two tables of 8-byte hashes,
+    joined on the hash; each pair that meets is verified word by word around the
+    diagonals of its hits. Neither side is held by the driver; of the documents
+    only those with a hit leave their map task. Rows with a null id or text give
+    nothing.
     """
-    sized = items.where("item_id is not null and passage is not null").select("item_id", "passage")
-    docs = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
-    block: list[tuple[int, str | None]] = []
-    parts: list[DataFrame] = []
-    held = 0
-    for row in sized.orderBy("item_id").toLocalIterator():
-        block.append((row.item_id, row.passage))
-        held += len(row.passage) // 4
-        if held >= BLOCK_WORDS:
-            parts.append(docs.mapInPandas(_scan(block), RESULT))
-            block, held = [], 0
-    if block or not parts:
-        parts.append(docs.mapInPandas(_scan(block), RESULT))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+    told = items_of(items)
+    codes = cut(seeds_of(told))
+    short = [r.n for r in told.where(F.col("n") < SHORT).select(F.when(F.col("n") < SHORTEST, F.col("n")).otherwise(SHORTEST).alias("n")).distinct().collect()]
+    masks = [*MASKS, *[(1, 1, 1) if n == SHORTEST else (1,) * n for n in sorted(short)]]
+    docs = cut(hit_documents(documents, codes, list(dict.fromkeys(masks))))
+    keyed = docs.select("doc_id", "text", F.explode(F.arrays_zip("codes", "ats")).alias("h")).select("doc_id", "text", F.col("h.codes").alias("code"), F.col("h.ats").alias("at"))
+    met = keyed.join(small(codes), "code").groupBy("doc_id", "text", "item").agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
+    pairs = met.join(docs.select("doc_id", "text", "words").dropDuplicates(["doc_id", "text"]), ["doc_id", "text"]).join(small(told.select("item", "item_id", "n", F.col("words").alias("passage"), "stock")), "item")
+    return pairs.select("doc_id", "item_id", "item", "text", "words", "passage", "stock", "shifts").mapInPandas(_verify, "doc_id long, item_id long, item long, item_words int, covered array<int>, own array<int>, text long")
+
+
+def _floor(n: Column, share: float) -> Column:
+    """As floor_of, of a column."""
+    return F.when(n < SHORTEST, n).otherwise(F.greatest(F.lit(3), F.least(F.lit(SHORTEST), F.ceil(n * share - 1e-9).cast("int"))))
 
 
 def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_share: float = 0.003) -> DataFrame:
@@ -259,35 +378,35 @@ def leaks(documents: DataFrame, items: DataFrame, share: float = 1 / 3, stock_sh
 
     documents(doc_id, text), items(item_id, passage); returns (doc_id, item_id,
     words, item_words, part). Seeds are the words at fixed masks' positions, so a
-    substituted word doesn't hide a passage; a hit is verified word by word along
-    its diagonal, tolerating slips. Stock sentences don't count by themselves:
-    runs that several different items share, and places of an item that more
-    different texts than `stock_share` of all documents have (five at least)
-    without having a `share` of the item; copies of a text count once. Pieces
-    that are the whole item count in any case. A piece with LEAST words beside its stock counts whole,
-    for then its words follow one another as in the item; of others only the
-    words beside stock count. Documents and items of null or empty text give no
-    rows; repeated documents are told each; ties don't arise; further columns
-    are ignored; items of one text are each reported.
+    substituted word doesn't hide a passage; a hit is verified word by word
+    around its diagonal, tolerating slips, and stretches that a word put in or
+    left out parts are chained. A piece is worth seven words or more, of items
+    of fewer than 21 words a third of them; items of fewer than seven words are
+    found whole. Stock sentences don't count by themselves: runs that several
+    different items share, and places of an item that more different texts than
+    `stock_share` of all documents have (five at least) without having a `share`
+    of the item; copies of a text count once. Pieces that are the whole item
+    count in any case. A piece with seven words (or its item's fewer) beside its
+    stock counts whole, for then its words follow one another as in the item; of
+    others only the words beside stock count. Documents and items of null or
+    empty text give no rows; of repeated documents and items one row is told;
+    ties don't arise; further columns are ignored; items of one text are each
+    reported.
     """
-    lengths = items.where("item_id is not null and passage is not null").select("item_id", "passage").mapInPandas(_lengths, "item_id long, item_words int").groupBy("item_id").agg(F.max("item_words").alias("item_words"))
     told = cut(pieces_in(documents, items))
 
     def united(rows: DataFrame) -> DataFrame:
-        counted = F.when(F.size("own") >= LEAST, F.col("covered")).otherwise(F.col("own"))
+        counted = F.when(F.size("own") >= _floor(F.col("item_words"), share), F.col("covered")).otherwise(F.col("own"))
         union = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
-        both = rows.withColumn("counted", counted).groupBy("doc_id", "item_id").agg(union("counted").alias("places"), union("covered").alias("whole"), F.min("text").alias("text")).join(lengths, "item_id")
+        both = rows.withColumn("counted", counted).groupBy("doc_id", "item_id", "item", "text", "item_words").agg(union("counted").alias("places"), union("covered").alias("whole"))
         return both.withColumn("places", F.when(F.size("whole") >= F.col("item_words"), F.col("whole")).otherwise(F.col("places")))
 
     alone = united(told).where(F.size("places") < share * F.col("item_words"))
     total = documents.agg(F.count(F.lit(1)).alias("docs"))
-    common = alone.select("item_id", "text", F.explode("places").alias("at")).groupBy("item_id", "at").agg(F.count_distinct("text").alias("count")).where((F.col("count") >= 5) & (F.col("count") > stock_share * total.scalar()))
-    stock = common.groupBy("item_id").agg(F.collect_set("at").alias("stock"))
-    bare = told.join(stock, "item_id", "left").withColumn("own", F.array_except("own", F.coalesce("stock", F.array().cast("array<int>")))).drop("stock")
+    common = alone.select("item", "text", F.explode("places").alias("at")).groupBy("item", "at").agg(F.count_distinct("text").alias("count")).where((F.col("count") >= 5) & (F.col("count") > stock_share * total.scalar()))
+    stock = common.groupBy("item").agg(F.collect_set("at").alias("stock"))
+    bare = told.join(stock, "item", "left").withColumn("own", F.array_except("own", F.coalesce("stock", F.array().cast("array<int>")))).drop("stock")
     words = F.size("places")
-    return united(bare).select("doc_id", "item_id", words.alias("words"), "item_words", (words / F.col("item_words")).alias("part")).where(F.col("words") >= F.ceil(share * F.col("item_words") - 1e-9))
-
-
-def _lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        yield pd.DataFrame({"item_id": pdf.item_id, "item_words": [len(words_of(t)) for t in pdf.passage]})
+    hits = united(bare).where(words >= F.ceil(share * F.col("item_words") - 1e-9))
+    best = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct((words / F.col("item_words")).alias("part"), words.alias("words"), "item_words")).alias("m"))
+    return best.select("doc_id", "item_id", "m.words", "m.item_words", "m.part")

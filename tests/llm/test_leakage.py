@@ -62,11 +62,49 @@ def test_odd_input(spark):
     assert found(spark, [filler(1, 30_000) + " " + ITEMS[2][1] + " " + filler(2, 30_000)]) == {(0, 3)}
 
 
-def test_blocks_of_items_give_the_same(spark, monkeypatch):
-    docs = [filler(i) + " " + p for i, p in ITEMS]
-    once = found(spark, docs)
-    monkeypatch.setattr(L, "BLOCK_WORDS", 100)
-    assert found(spark, docs) == once == {(k, i) for k, (i, _) in enumerate(ITEMS)}
+def test_stock_is_told_over_all_items(spark):
+    quote = " ".join(passage(78, 16).split())
+    own = passage(79, 30).split()
+    pair = [(1, " ".join(own[:15]) + " " + quote + " " + " ".join(own[15:])), (2, passage(80, 30) + " " + quote)]
+    many = [(100 + i, passage(200 + i, 40)) for i in range(300)]
+    docs = [filler(1) + " " + quote + " " + filler(2), " ".join(own[:15]) + " " + quote]
+    assert found(spark, docs, pair) == found(spark, docs, [*pair[:1], *many, *pair[1:]]) == {(1, 1)}
+
+
+def test_short_items_are_found_whole(spark):
+    items = [(n, passage(300 + n, n)) for n in (1, 3, 6, 7, 9, 12)]
+    docs = [filler(20 + n) + " " + p + " " + filler(40 + n) for n, p in items]
+    assert found(spark, docs, items) == {(k, n) for k, (n, _) in enumerate(items)}
+    parts = [filler(60) + " " + " ".join(p.split()[: n - 1]) for n, p in items if n < 7]
+    assert found(spark, parts, items[:3]) == set()
+    # Half of twelve words is more than a third, a quarter isn't.
+    twelve = items[-1][1].split()
+    assert found(spark, [filler(61) + " " + " ".join(twelve[3:9]), filler(62) + " " + " ".join(twelve[:3])], items[-1:]) == {(0, 12)}
+
+
+def test_words_put_in_and_left_out_are_chained(spark):
+    words = ITEMS[3][1].split()
+    put_in = [x for i, w in enumerate(words) for x in ([w, "inserted"] if i % 6 == 5 else [w])]
+    left_out = [w for i, w in enumerate(words) if i % 7 != 6]
+    assert found(spark, [filler(1) + " " + " ".join(put_in), " ".join(left_out) + " " + filler(2)]) == {(0, 4), (1, 4)}
+
+
+def test_recall_over_lengths_and_edits(spark):
+    """0.95 or more of planted leaks of items of 3 to 200 words, each word replaced, put in or left out with one in twelve."""
+    rng = random.Random(31)
+    items = [(n, passage(500 + n, n)) for n in range(3, 201, 7)]
+    docs, want = [], set()
+    for n, p in items:
+        words = p.split()
+        for kind in range(3):
+            edited = []
+            for w in words:
+                odd = n >= 12 and rng.random() < 1 / 12
+                edited += ["swapped"] if odd and kind == 0 else [w, "added"] if odd and kind == 1 else [] if odd and kind == 2 else [w]
+            want.add((len(docs), n))
+            docs.append(filler(100 + len(docs)) + " " + " ".join(edited) + " " + filler(400 + len(docs)))
+    got = found(spark, docs, items)
+    assert got <= want and len(got) >= 0.95 * len(want)
 
 
 @pytest.mark.parametrize(("a", "b", "same"), [("guarantee", "guarantes", True), ("4821", "4822", False), ("abc", "abd", False), ("house", "mouse", True), ("station", "statlon", True), ("garden", "window", False)])
