@@ -55,9 +55,11 @@ def loose_number(c: Column) -> Column:
 
 def shortest(text: Column) -> Column:
     """The shortest text of a plain decimal text of any length (no outer zeros, no plus, no minus nil); null for other text."""
-    sign, whole, rest = (F.regexp_extract(text, r"^([-+]?)0*(\d*)(?:\.(\d*?)0*)?$", i) for i in (1, 2, 3))
-    digits = F.concat(F.when(whole == "", "0").otherwise(whole), F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(""))
-    return F.when(text.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)$"), F.when((sign == "-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits))
+    # One chain of replacements, so the expression stays small where it is nested.
+    bare = text
+    for pattern, by in ((r"^\+", ""), (r"^(-?)\.", "$10."), (r"^(-?)0+(?=\d)", "$1"), (r"(\.\d*?)0+$", "$1"), (r"\.$", ""), (r"^-0$", "0")):
+        bare = F.regexp_replace(bare, pattern, by)
+    return F.when(text.rlike(r"^[-+]?(\d+\.?\d*|\.\d+)$"), bare)
 
 
 #: A unit's words and the power of ten that brings it to mii lei, greatest first.
