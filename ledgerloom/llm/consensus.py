@@ -5,23 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import DASHES, SPACES
+from ledgerloom.functions.numbers import DASHES, SPACES, shortest
 from ledgerloom.session import cut
 
-NUMBER = "decimal(38,12)"
 #: Share of wrong readings of one cell that are the same wrong number; hard digits mislead alike.
 COINCIDENCE = 0.45
 
 
 def reading_number(text):
-    """The number a reading states; null for null, blank, a dash or what isn't a number.
+    """The number a reading states, as its shortest text; null for null, blank, a dash or what isn't a number.
 
     A comma is the decimal mark and dots then group digits; without a comma a
-    dot is the decimal mark. Leading and trailing zeros don't matter.
+    dot is the decimal mark. Leading and trailing zeros don't matter, so equal
+    numbers of any length are equal texts.
     """
     bare = F.regexp_replace(F.regexp_replace(text, SPACES, ""), "[−–—]", "-")
     plain = F.when(F.contains(bare, F.lit(",")), F.regexp_replace(F.regexp_replace(bare, r"\.", ""), ",", ".")).otherwise(bare)
-    return F.when(~bare.isin(*DASHES) & plain.rlike(r"^[-+]?(\d{1,25}(\.\d*)?|\.\d+)$"), plain.try_cast(NUMBER))
+    return F.when(~bare.isin(*DASHES), shortest(plain))
 
 
 def votes_of(readings: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def decide(votes: DataFrame, rated: DataFrame, links: DataFrame, coincidence: fl
     that coincide. A vote that repeats that of one of its parents weighs only
     what it adds if a share of such votes is copied. Annotators who share no
     cell with anybody count with reliability `unrated`. Of equal weights the
-    number with more votes wins, then the smaller one. margin is the lead over
+    number with more votes wins, then the smaller one. Numbers are texts, as of reading_number. margin is the lead over
     the next number, in log odds (over nothing if there is no other).
     """
     r = F.coalesce("reliability", F.lit(unrated))
@@ -166,10 +166,10 @@ def decide(votes: DataFrame, rated: DataFrame, links: DataFrame, coincidence: fl
     scored = weighed.join(repeats, ["cell", "annotator"], "left").withColumn("w", F.log(right / wrong))
     sums = scored.groupBy("cell", "num").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("votes"))
     # The best and the next by mergeable aggregates; no cell is collected.
-    order = F.struct(F.round("w", 9).alias("w"), "votes", (-F.col("num")).alias("minus"))
+    order = F.struct(F.round("w", 9).alias("w"), "votes", (-F.col("num").cast("double")).alias("minus"), "num")
     best = sums.groupBy("cell").agg(F.max(order).alias("best"), F.sum("votes").alias("readers"), F.count(F.lit(1)).alias("numbers"))
-    second = sums.join(best.select("cell", "best"), "cell").where(F.col("num") != -F.col("best.minus")).groupBy("cell").agg(F.max("w").alias("second"))
-    return best.join(second, "cell", "left").select("cell", (-F.col("best.minus")).cast(NUMBER).alias("consensus"), "readers", F.col("best.votes").alias("agree"), (F.col("best.votes") / F.col("readers")).alias("agreement"), (F.col("best.w") - F.coalesce("second", F.lit(0.0))).alias("margin"))
+    second = sums.join(best.select("cell", "best"), "cell").where(F.col("num") != F.col("best.num")).groupBy("cell").agg(F.max("w").alias("second"))
+    return best.join(second, "cell", "left").select("cell", F.col("best.num").alias("consensus"), "readers", F.col("best.votes").alias("agree"), (F.col("best.votes") / F.col("readers")).alias("agreement"), (F.col("best.w") - F.coalesce("second", F.lit(0.0))).alias("margin"))
 
 
 def consensus(readings: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

@@ -1,6 +1,5 @@
 import random
 from datetime import datetime, timedelta
-from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -19,7 +18,13 @@ def frame(spark, rows):
 @pytest.mark.parametrize(("text", "number"), [("1.234,50", "1234.5"), ("1234.50", "1234.5"), (" 71.715 ", "71.715"), ("0,5884", "0.5884"), ("-", None), ("—", None), ("", None), (None, None), ("  ", None), ("x", None), ("−3", "-3"), ("1.000.000,5", "1000000.5")])
 def test_readings(spark, text, number):
     got = spark.createDataFrame([(text,)], "v string").select(C.reading_number(F.col("v"))).first()[0]
-    assert got == (Decimal(number) if number else None)
+    assert got == number
+
+
+def test_readings_of_any_length(spark):
+    number = lambda i: f"{i + 1}" + "8" * 70
+    rows = [(i, who, "draft", text) for i in range(40) for who, text in (("a", number(i)), ("b", f"0{number(i)},0"), ("c", number(i)[:-1] + "7" if i % 4 == 0 else number(i)))]
+    assert {x.cell: x.consensus for x in C.consensus(frame(spark, rows))[1].collect()} == {i: number(i) for i in range(40)}
 
 
 def test_latest_reading_counts_and_blanks_dont(spark):
