@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.joins import small
 from ledgerloom.session import cut
 
 #: Look-alike letters, one row per script, column by column the same shape.
@@ -20,6 +21,12 @@ SHAPES = {
     "GREEK": "Α Β . . Ε . . Η Ι . Κ . Μ Ν Ο Ρ . . . Τ . . . Χ Υ Ζ . . ϲ . . . . . . ϳ . . . . ο . . . . . . ν . . . . . ϊ . . Ϊ . . ό κ . .".split(),
     "ARMENIAN": ". . . . . . . . . . . . . . Օ . . . Տ . Ս . . . . . . . . . . . ց հ . յ . . . ո օ . զ . . . ս . . . . . . . . . . . . . . . .".split(),
 }
+#: Capitals A to Z of scripts that only ever stand in for Latin letters; a dot where a script has none.
+STAND_INS = {
+    "CHEROKEE": "Ꭺ Ᏼ Ꮯ Ꭰ Ꭼ . Ꮐ Ꮋ . Ꭻ Ꮶ Ꮮ Ꮇ . . Ꮲ . Ꭱ Ꮪ Ꭲ . Ꮩ Ꮃ . . Ꮓ".split(),
+    "COPTIC": "Ⲁ Ⲃ Ⲥ . Ⲉ . . Ⲏ Ⲓ . Ⲕ . Ⲙ Ⲛ Ⲟ Ⲣ . . . Ⲧ . . . Ⲭ Ⲩ Ⲍ".split(),
+    "LISU": "ꓮ ꓐ ꓚ ꓓ ꓰ ꓝ ꓖ ꓧ ꓲ ꓙ ꓗ ꓡ ꓟ ꓠ ꓳ ꓑ . ꓣ ꓢ ꓔ ꓴ ꓦ ꓪ ꓫ ꓬ ꓜ".split(),
+}
 #: Further pairs of one direction, which only a script's own words can decide.
 EXTRA = {("CYRILLIC", "Ү"): "Y", ("CYRILLIC", "ɡ"): "g", ("GREEK", "ι"): "i", ("GREEK", "υ"): "u", ("GREEK", "σ"): "o", ("GREEK", "α"): "a", ("GREEK", "γ"): "y", ("GREEK", "ρ"): "p", ("GREEK", "τ"): "t", ("GREEK", "ύ"): "ú", ("GREEK", "ί"): "í"}
 #: Latin letters that are another Latin letter's look-alike and not of any of the corpus's languages.
@@ -55,6 +62,8 @@ def _maps() -> dict[tuple[str, str], dict[str, str]]:
                 out[a, b] = {x: y for x, y in zip(row, other, strict=True) if x != "." and y != "."}
     for (script, x), y in EXTRA.items():
         out[script, "LATIN"].setdefault(x, y)
+    for script, row in STAND_INS.items():
+        out[script, "LATIN"] = {x: y for x, y in zip(row, SHAPES["LATIN"], strict=False) if x != "."}
     return out
 
 
@@ -65,9 +74,7 @@ MAPS = _maps()
 def resolved(c: str) -> frozenset[str]:
     """The scripts in which a letter with this look exists."""
     own = script_of(c)
-    if own not in SHAPES:
-        return frozenset({own}) if own else frozenset()
-    return frozenset({own} | {b for b in SHAPES if b != own and c in MAPS[own, b]})
+    return frozenset({own} | {b for b in SHAPES if c in MAPS.get((own, b), {})}) if own else frozenset()
 
 
 @lru_cache(maxsize=65536)
@@ -137,13 +144,14 @@ def respelled(token: str, script: str) -> str:
     out = []
     for c in unicodedata.normalize("NFC", token):
         own = script_of(c)
-        if own == script or own not in SHAPES:
+        there = MAPS.get((own, script))
+        if there is None:
             out.append(c)
-        elif c in MAPS[own, script]:
-            out.append(MAPS[own, script][c])
+        elif c in there:
+            out.append(there[c])
         else:
             parts = unicodedata.normalize("NFD", c)
-            out.append(MAPS[own, script].get(parts[0], parts[0]) + parts[1:])
+            out.append(there.get(parts[0], parts[0]) + parts[1:])
     return unicodedata.normalize("NFC", "".join(out))
 
 
@@ -238,7 +246,8 @@ def consistent_forms(names: DataFrame, dominance: int = 3) -> DataFrame:
     corpus's names begin with capitals.
     """
     counted = names.where("name is not null").groupBy(F.col("name").alias("name_")).agg(F.count(F.lit(1)).alias("n"))
-    forms = cut(counted.mapInPandas(_spell, "name string, n long, form string"))
+    # As many tasks as cores: the few distinct names are costly to spell, and adaptive execution would put them into one.
+    forms = cut(counted.repartition(names.sparkSession.sparkContext.defaultParallelism).mapInPandas(_spell, "name string, n long, form string"))
     swaps = _initials(forms, dominance)
     words = forms.select("name", "form", F.posexplode(F.split("form", r"(?<=[\p{L}\p{M}])(?![\p{L}\p{M}])|(?<![\p{L}\p{M}])(?=[\p{L}\p{M}])")).alias("at", "token")).where(F.substring("token", 1, 1).isin("I", "l") | F.col("form").rlike(r"(^|[^\p{L}\p{M}])[Il]"))
     fixed = words.join(swaps, "token", "left").withColumn("token", F.coalesce("better", "token")).groupBy("name").agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("parts"))
@@ -268,5 +277,6 @@ def spelled_otherwise(rows: DataFrame) -> DataFrame:
     """
     told = rows.select("source_table", "row_key", "name")
     forms = consistent_forms(told.select("name"))
-    other = forms.where(F.col("name") != F.col("form"))
-    return told.join(other, "name").select("source_table", "row_key", "name", "form")
+    # Hot names are no hot keys where the odd forms, which grow with distinct names only, are counted few enough to be sent.
+    other = cut(forms.where(F.col("name") != F.col("form")))
+    return told.join(small(other), "name").select("source_table", "row_key", "name", "form")

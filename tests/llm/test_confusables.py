@@ -59,3 +59,16 @@ def test_words_behind_the_thousandth_are_known(spark):
 
 def test_delete_character_is_removed():
     assert C.ordinary("ab\x7fc") == "abc"
+
+
+def test_letters_of_further_scripts_stand_in_for_latin_ones():
+    assert C.ordinary("Ꮪtrada Mare") == "Strada Mare"
+    assert C.ordinary("Ⲥetate") == "Cetate" and C.ordinary("ꓢALARII ꓐUNURI") == "SALARII BUNURI"
+    cherokee = "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ"
+    assert C.ordinary(cherokee) == cherokee
+
+
+def test_long_names_are_read_whole(spark):
+    words = " ".join(f"Strada{i}" for i in range(1500))
+    names = spark.createDataFrame([("Strada lunga " + words + " lac",), ("lac mare",)], "name string")
+    assert {r.name[:8]: r.form[:8] for r in C.consistent_forms(names).collect()}["lac mare"] == "lac mare"
