@@ -113,7 +113,7 @@ class Hasher:
         known = self.known
         if len(known) > _REMEMBERED:
             known.clear()
-        for w in set(words) - known.keys():
+        for w in set(words).difference(known):
             known[w] = xxhash.xxh3_64_intdigest(w)
         return np.array([known[w] for w in words], dtype=np.uint64)
 
