@@ -40,6 +40,8 @@ _BROKEN = re.compile(r"(?<=\w)[-‐‑­]\s*[\r\n]+\s*(?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile(r"[̀-ͯ­͏​-‏‪-‮⁠-⁩︀-️﻿]")
 _TABLE = str.maketrans(LOOKALIKE | PLAIN | SCANNED)
+#: Documents read at once by a task.
+BATCH = 1000
 #: Words whose hashes a task remembers.
 _REMEMBERED = 1_000_000
 
@@ -212,7 +214,7 @@ def _scan(held, masks: list[tuple[int, ...]]):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, hasher = held.value, Hasher()
         bits = len(table) << 6
-        for pdf in batches:
+        for pdf in (whole.iloc[at : at + BATCH] for whole in batches for at in range(0, len(whole), BATCH)):
             told = [words_of(t) for t in pdf.text]
             sizes = np.array([len(w) for w in told], dtype=np.int64)
             ends = np.cumsum(sizes)
@@ -333,18 +335,86 @@ def pieces_of(words: list[str], item: list[str], shifts: list[int]) -> list[np.n
     return [np.unique(np.concatenate([np.arange(s, e, dtype=np.int32) for s, e in chain])) for chain in chained(parts, least)]
 
 
+#: Cells of windows compared at once.
+_CELLS = 4_000_000
+
+
+class Bounds:
+    """Upper bounds of what verification can find, for many pairs at once: which pairs may have a piece at all."""
+
+    def __init__(self) -> None:
+        self.hasher, self.shapes = Hasher(), {}
+
+    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes and shapes of all texts' words one after another, and each text's start and size."""
+        told = [t.split(" ") for t in texts]
+        words = [w for t in told for w in t]
+        shapes = self.shapes
+        if len(shapes) > _REMEMBERED:
+            shapes.clear()
+        for w in set(words).difference(shapes):
+            shapes[w] = len(w) << 42 | ord(w[0]) << 21 | ord(w[-1])
+        sizes = np.array([len(t) for t in told], dtype=np.int64)
+        return self.hasher(words), np.array([shapes[w] for w in words], dtype=np.int64), np.cumsum(sizes) - sizes, sizes
+
+    def possible(self, words: list[str], passages: list[str], shifts: list[np.ndarray]) -> np.ndarray:
+        """For each pair: may its stretches be worth its item's floor, if every word that could be a slip were one?"""
+        docs, items = list(dict.fromkeys(words)), list(dict.fromkeys(passages))
+        at_doc, at_item = {t: k for k, t in enumerate(docs)}, {t: k for k, t in enumerate(items)}
+        (dh, ds, d0, dn), (ih, is_, i0, in_) = self._flat(docs), self._flat(items)
+        which = np.repeat(np.arange(len(words)), [len(x) for x in shifts])
+        shift = np.concatenate(shifts).astype(np.int64)
+        doc, item = np.array([at_doc[t] for t in words])[which], np.array([at_item[t] for t in passages])[which]
+        best, matches = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=np.int64)
+        wide = int(in_.max())
+        step = max(1, _CELLS // wide)
+        for a in range(0, len(which), step):
+            w, t = slice(a, a + step), np.arange(wide)
+            there = shift[w, None] + t
+            inside = (there >= 0) & (there < dn[doc[w], None]) & (t < in_[item[w], None])
+            x, y = np.where(inside, d0[doc[w], None] + there, 0), np.where(inside, i0[item[w], None] + t, 0)
+            equal = inside & (dh[x] == ih[y])
+            beside = np.zeros_like(equal)
+            beside[:, 1:] |= equal[:, :-1]
+            beside[:, :-1] |= equal[:, 1:]
+            r, c = np.nonzero(beside & inside & ~equal)
+            p, q = ds[x[r, c]], is_[y[r, c]]
+            least = np.minimum(p >> 42, q >> 42)
+            near_ = (least >= 4) & (np.abs((p >> 42) - (q >> 42)) <= np.where(least >= 9, 2, 1)) & ((least >= 9) | ((p ^ q) & 0x1FFFFF == 0) | (((p ^ q) >> 21) & 0x1FFFFF == 0))
+            equal[r[near_], c[near_]] = True
+            score = np.zeros(len(equal), dtype=np.int64)
+            top = score.copy()
+            for k in range(wide):
+                score = np.maximum(0, score + np.where(equal[:, k], 1, -GAP_COST))
+                np.maximum(top, score, out=top)
+            best[w], matches[w] = top, equal.sum(axis=1)
+        floors = np.array([floor_of(n) for n in in_.tolist()])[item]
+        out = np.zeros(len(words), dtype=bool)
+        out[which[best >= floors]] = True
+        # Stretches of neighbouring diagonals may be chained.
+        close = (np.diff(which) == 0) & (np.diff(shift) <= 2 * GAP)
+        k = np.flatnonzero(close)
+        some = k[(best[k] >= STRETCH) & (best[k + 1] >= STRETCH)]
+        held = np.zeros(len(words), dtype=np.int64)
+        np.add.at(held, which, matches)
+        out[which[some]] |= held[which[some]] >= floors[some]
+        return out
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    bounds = Bounds()
     for pdf in batches:
+        if not len(pdf):
+            continue
         out = []
-        split: dict[str, list[str]] = {}
-        for doc_id, item_id, item, text, words, passage, stock, shifts in zip(pdf.doc_id, pdf.item_id, pdf["item"], pdf.text, pdf.words, pdf.passage, pdf.stock, pdf.shifts, strict=True):
-            if words not in split:
-                split = {words: words.split(" ")}  # rows of a document mostly follow one another
-            theirs = passage.split(" ")
-            for places in pieces_of(split[words], theirs, list(shifts)):
-                own = np.setdiff1d(places, np.asarray(stock, dtype=np.int32))
+        shifts = [np.sort(np.asarray(x, dtype=np.int64)) for x in pdf.shifts]
+        for k in np.flatnonzero(bounds.possible(list(pdf.words), list(pdf.passage), shifts)).tolist():
+            row = pdf.iloc[k]
+            theirs = row.passage.split(" ")
+            for places in pieces_of(row.words.split(" "), theirs, shifts[k].tolist()):
+                own = np.setdiff1d(places, np.asarray(row.stock, dtype=np.int32))
                 if len(own):
-                    out.append((doc_id, item_id, item, len(theirs), places, own, text))
+                    out.append((row.doc_id, row.item_id, row["item"], len(theirs), places, own, row.text))
         yield pd.DataFrame(out, columns=["doc_id", "item_id", "item", "item_words", "covered", "own", "text"])
 
 

@@ -125,3 +125,25 @@ def test_whole_passage_counts_though_all_of_it_is_quoted(spark):
     docs = [filler(10 + 10 * q + i) + " " + " ".join(words[15 * q : 15 * q + 15]) for q in range(4) for i in range(6)]
     got = found(spark, [*docs, " ".join(words)], [(1, " ".join(words))])
     assert {k[0] for k in got} == {24}
+
+
+def test_bounds_never_lose_a_piece():
+    """Whatever the exact verification finds, the bound lets pass."""
+    rng = random.Random(17)
+    words, passages, shifts, found_ = [], [], [], []
+    for _ in range(400):
+        n = rng.choice((5, 9, 14, 30, 60))
+        item = L.words_of(passage(rng.randrange(50), n))
+        a = rng.randrange(0, max(1, n - 4))
+        piece = item[a : a + rng.randrange(2, 14)]
+        piece = [w[:-1] + "q" if rng.random() < 0.15 else w for w in piece]
+        if rng.random() < 0.4 and len(piece) > 4:
+            piece.insert(len(piece) // 2, "inserted")
+        lead = L.words_of(filler(rng.randrange(99), rng.randrange(1, 9)))
+        doc = [*lead, *piece, *L.words_of(filler(rng.randrange(99), 6))]
+        words.append(" ".join(doc))
+        passages.append(" ".join(item))
+        shifts.append(L.np.array(sorted({len(lead) - a, len(lead) - a + 1})))
+        found_.append(bool(L.pieces_of(doc, item, shifts[-1].tolist())))
+    told = L.Bounds().possible(words, passages, shifts)
+    assert all(t or not f for t, f in zip(told, found_, strict=True)) and 20 < sum(found_) < sum(told) < 400
