@@ -345,27 +345,30 @@ class Bounds:
     def __init__(self) -> None:
         self.hasher, self.shapes = Hasher(), {}
 
-    def _flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes and shapes of all texts' words one after another, and each text's start and size."""
+    def _flat(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts' words one after another, their hashes and shapes, and each text's start and size."""
         told = [t.split(" ") for t in texts]
         words = [w for t in told for w in t]
         shapes = self.shapes
         if len(shapes) > _REMEMBERED:
             shapes.clear()
         for w in set(words).difference(shapes):
-            shapes[w] = len(w) << 42 | ord(w[0]) << 21 | ord(w[-1])
+            shapes[w] = (sum(map(w.count, "0123456789")) * 2 > len(w)) << 62 | min(len(w), 0xFFFFF) << 42 | ord(w[0]) << 21 | ord(w[-1])
         sizes = np.array([len(t) for t in told], dtype=np.int64)
-        return self.hasher(words), np.array([shapes[w] for w in words], dtype=np.int64), np.cumsum(sizes) - sizes, sizes
+        return words, self.hasher(words), np.array([shapes[w] for w in words], dtype=np.int64), np.cumsum(sizes) - sizes, sizes
 
-    def possible(self, words: list[str], passages: list[str], shifts: list[np.ndarray]) -> np.ndarray:
-        """For each pair: may its stretches be worth its item's floor, if every word that could be a slip were one?"""
+    def possible(self, words: list[str], passages: list[str], shifts: list[np.ndarray], stocks: list[np.ndarray]) -> np.ndarray:
+        """For each pair: may its stretches be worth its item's floor and hold more than stock?"""
         docs, items = list(dict.fromkeys(words)), list(dict.fromkeys(passages))
         at_doc, at_item = {t: k for k, t in enumerate(docs)}, {t: k for k, t in enumerate(items)}
-        (dh, ds, d0, dn), (ih, is_, i0, in_) = self._flat(docs), self._flat(items)
+        (dw, dh, ds, d0, dn), (iw, ih, is_, i0, in_) = self._flat(docs), self._flat(items)
+        free = np.ones(len(ih), dtype=bool)
+        for text, stock in {t: x for t, x in zip(passages, stocks, strict=True)}.items():
+            free[i0[at_item[text]] + np.asarray(stock, dtype=np.int64)] = False
         which = np.repeat(np.arange(len(words)), [len(x) for x in shifts])
         shift = np.concatenate(shifts).astype(np.int64)
         doc, item = np.array([at_doc[t] for t in words])[which], np.array([at_item[t] for t in passages])[which]
-        best, matches = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=np.int64)
+        best, matches, some_ = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=bool)
         wide = int(in_.max())
         step = max(1, _CELLS // wide)
         for a in range(0, len(which), step):
@@ -379,25 +382,36 @@ class Bounds:
             beside[:, :-1] |= equal[:, 1:]
             r, c = np.nonzero(beside & inside & ~equal)
             p, q = ds[x[r, c]], is_[y[r, c]]
-            least = np.minimum(p >> 42, q >> 42)
-            near_ = (least >= 4) & (np.abs((p >> 42) - (q >> 42)) <= np.where(least >= 9, 2, 1)) & ((least >= 9) | ((p ^ q) & 0x1FFFFF == 0) | (((p ^ q) >> 21) & 0x1FFFFF == 0))
-            equal[r[near_], c[near_]] = True
-            score = np.zeros(len(equal), dtype=np.int64)
-            top = score.copy()
+            n, m = (p >> 42) & 0xFFFFF, (q >> 42) & 0xFFFFF
+            least = np.minimum(n, m)
+            near_ = (least >= 4) & (q >> 62 == 0) & (np.abs(n - m) <= np.where(least >= 9, 2, 1)) & ((least >= 9) | ((p ^ q) & 0x1FFFFF == 0) | (((p ^ q) >> 21) & 0x1FFFFF == 0))
+            r, c = r[near_], c[near_]
+            # Each two words are compared once.
+            both, first, back = np.unique(dh[x[r, c]] * _MULTIPLIERS[1] + ih[y[r, c]], return_index=True, return_inverse=True)
+            slip = np.array([near(dw[i], iw[j]) for i, j in zip(x[r, c][first].tolist(), y[r, c][first].tolist(), strict=True)], dtype=bool)
+            equal[r, c] = slip[back] if len(both) else False
+            # What the best stretch through each match is worth: what ends there and what begins there.
+            gain = np.where(equal, 1, -GAP_COST).astype(np.int16).T
+            through = np.zeros_like(gain)
+            score = np.zeros(len(equal), dtype=np.int16)
             for k in range(wide):
-                score = np.maximum(0, score + np.where(equal[:, k], 1, -GAP_COST))
-                np.maximum(top, score, out=top)
-            best[w], matches[w] = top, equal.sum(axis=1)
+                score = np.maximum(0, score + gain[k])
+                through[k] = score
+            score[:] = 0
+            for k in range(wide - 1, -1, -1):
+                through[k] += score
+                score = np.maximum(0, score + gain[k])
+            some_[w] = through.max(axis=0) >= STRETCH
+            through[~(equal & free[y]).T] = 0
+            best[w], matches[w] = through.max(axis=0), equal.sum(axis=1)
         floors = np.array([floor_of(n) for n in in_.tolist()])[item]
         out = np.zeros(len(words), dtype=bool)
         out[which[best >= floors]] = True
         # Stretches of neighbouring diagonals may be chained.
-        close = (np.diff(which) == 0) & (np.diff(shift) <= 2 * GAP)
-        k = np.flatnonzero(close)
-        some = k[(best[k] >= STRETCH) & (best[k + 1] >= STRETCH)]
+        k = np.flatnonzero((np.diff(which) == 0) & (np.diff(shift) <= 2 * GAP) & some_[:-1] & some_[1:] & (np.maximum(best[:-1], best[1:]) >= STRETCH))
         held = np.zeros(len(words), dtype=np.int64)
-        np.add.at(held, which, matches)
-        out[which[some]] |= held[which[some]] >= floors[some]
+        np.add.at(held, which, np.where(some_, matches, 0))
+        out[which[k]] |= held[which[k]] >= floors[k]
         return out
 
 
@@ -408,7 +422,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         out = []
         shifts = [np.sort(np.asarray(x, dtype=np.int64)) for x in pdf.shifts]
-        for k in np.flatnonzero(bounds.possible(list(pdf.words), list(pdf.passage), shifts)).tolist():
+        for k in np.flatnonzero(bounds.possible(list(pdf.words), list(pdf.passage), shifts, list(pdf.stock))).tolist():
             row = pdf.iloc[k]
             theirs = row.passage.split(" ")
             for places in pieces_of(row.words.split(" "), theirs, shifts[k].tolist()):
