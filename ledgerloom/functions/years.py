@@ -17,20 +17,19 @@ def budget_year(c: Column, fallback: Column | None = None) -> Column:
     return first if fallback is None else F.coalesce(first, fallback)
 
 
+#: What a header cell with a year says, and the role it then has, in this order. A plan is the
+#: total of its own edition's year, else a budget.
+HEADER_WORDS = (("executie_", "exec"), ("plan", "bvc"), ("est", r"estim|^\s*(19|20)\d{2}\s*$"), ("buget_", "initial"), ("total_", "buget|prevederi|total"))
+#: Fixed value: quarters have roles of their own.
+QUARTER = "trim"
+
+
 def header_role(c: Column, year: Column) -> Column:
-    """Role of a header cell with a year (executie_, total_, buget_, est), null for quarters and headers without a year."""
-    text = F.lower(c)
-    has = lambda *ws: F.greatest(*[F.contains(text, F.lit(w)) for w in (*ws, ws[0])])
-    first = F.get(years_in(text), F.lit(0))
-    y = first.cast("string")
-    role = (
-        F.when(has("exec"), F.concat(F.lit("executie_"), y))
-        .when(has("bvc"), F.concat(F.when(year.isNull() | (year == first), "total_").otherwise("buget_"), y))
-        .when(has("estim") | text.rlike(r"^\s*(19|20)\d{2}\s*$"), F.concat(F.lit("est"), y))
-        .when(has("initial"), F.concat(F.lit("buget_"), y))
-        .when(has("buget", "prevederi", "total"), F.concat(F.lit("total_"), y))
-    )
-    return F.when(first.isNotNull() & ~has("trim"), role)
+    """Role of a header cell with a year (HEADER_WORDS), null for quarters and headers without a year."""
+    text, at = F.lower(c), F.get(years_in(F.lower(c)), F.lit(0))
+    kind = F.coalesce(*[F.when(text.rlike(words), F.lit(role)) for role, words in HEADER_WORDS])
+    kind = F.when(kind != "plan", kind).when(F.coalesce(year, at) == at, "total_").when(kind == "plan", "buget_")
+    return F.when(at.isNotNull() & ~F.contains(text, F.lit(QUARTER)), F.concat(kind, at.cast("string")))
 
 
 def role_year(role: Column) -> Column:
@@ -38,12 +37,15 @@ def role_year(role: Column) -> Column:
     return F.regexp_extract(role, r"^(?:total_|buget_|est)(\d{4})$", 1).try_cast("int")
 
 
-def shifted_role(role: Column, year: Column, source_year: int = 2026) -> Column:
-    """A role of one edition told for another: totals and budgets of its year, forecasts of the three years after."""
-    kind, at = F.regexp_extract(role, r"^(total_|buget_|est)\d{4}$", 1), role_year(role)
-    current = kind.isin("total_", "buget_") & (at == source_year)
-    forecast = (kind == "est") & at.between(source_year + 1, source_year + 3)
-    return F.when(year.isNotNull() & (current | forecast), F.concat(kind, (year + at - source_year).cast("string"))).otherwise(role)
+#: Years a role may lie after its edition, by kind of role.
+REACH = (("total_", 0, 0), ("buget_", 0, 0), ("est", 1, 3))
+
+
+def shifted_role(role: Column, year: Column, edition: int) -> Column:
+    """A role of one edition told for another year's; roles out of their kind's REACH, and all where no year is given, stay."""
+    ahead = role_year(role) - edition
+    reaches = F.coalesce(*[F.when(role.startswith(kind), ahead.between(low, high)) for kind, low, high in REACH], F.lit(False))
+    return F.when(year.isNotNull() & reaches, F.concat(F.regexp_extract(role, r"^\D+", 0), (year + ahead).cast("string"))).otherwise(role)
 
 
 def annual_rank(column: Column) -> Column:

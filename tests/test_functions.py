@@ -71,7 +71,7 @@ def test_years(spark):
     assert mapped(spark, ["2027 2025 2026", "1998", None], Y.budget_year(F.col("x"))) == [2025, None, None]
     heads = ["Executie 2024", "BVC 2025", "Estimari 2027", "2028", "Buget initial 2025", "Prevederi 2025", "Trim I 2025", "cod"]
     assert mapped(spark, heads, Y.header_role(F.col("x"), F.lit(2026))) == ["executie_2024", "buget_2025", "est2027", "est2028", "buget_2025", "total_2025", None, None]
-    assert mapped(spark, ["total_2026", "est2028", "trim1"], Y.shifted_role(F.col("x"), F.lit(2024))) == ["total_2024", "est2026", "trim1"]
+    assert mapped(spark, ["total_2026", "est2028", "trim1"], Y.shifted_role(F.col("x"), F.lit(2024), 2026)) == ["total_2024", "est2026", "trim1"]
 
 
 def test_texts(spark):
