@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column
@@ -55,6 +56,20 @@ def json_inside(c: Column) -> Column:
     return F.to_json(F.try_parse_json(F.regexp_extract(c, r"(?s)\{.*\}", 0)))
 
 
+def semantic_words(c: Column, aliases: dict[str, str], stop: tuple[str, ...]) -> Column:
+    """Folded words that matter: stop words left out, aliases told by their main word, runs of single letters joined."""
+    joined = F.regexp_replace(fold(c), r"(?<=\b[a-z])[.\s]+(?=[a-z]\b)", "")
+    known = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]) if aliases else None
+    named = words(joined) if known is None else F.transform(words(joined), lambda w: F.coalesce(F.try_element_at(known, w), w))
+    return F.array_distinct(F.filter(named, lambda w: ~w.isin(*stop) & (F.length(w) > 0)))
+
+
+def means_the_same(a: Column, b: Column, aliases: dict[str, str], stop: tuple[str, ...]) -> Column:
+    """All words that matter of one text are among the other's, either way; a text without any means nothing."""
+    x, y = semantic_words(a, aliases, stop), semantic_words(b, aliases, stop)
+    return (F.size(x) > 0) & (F.size(y) > 0) & ((F.size(F.array_except(x, y)) == 0) | (F.size(F.array_except(y, x)) == 0))
+
+
 def near_keys(c: Column) -> Column:
     """The text and all texts with one letter less: two texts one edit apart share one of them."""
     return F.array_union(F.array(c), F.transform(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c)))))
@@ -101,6 +116,33 @@ def partial_ratio(a: str, b: str) -> float:
     return max(indel_ratio(short, long_[i : i + len(short)]) for i in range(len(long_) - len(short) + 1))
 
 
+def sequence_ratio(a: str, b: str) -> float:
+    """Percent of letters in matching blocks, longest first (the standard library's measure)."""
+    return 100.0 * SequenceMatcher(None, a, b, autojunk=False).ratio()
+
+
+def token_sort_ratio(a: str, b: str) -> float:
+    """The ratio of the sorted words."""
+    return indel_ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+
+
+#: What word scores count for, and what partial ones do by how much longer one text is.
+WORD_WEIGHT, PART_FROM, PART_WEIGHTS = 0.95, 1.5, ((8.0, 0.9), (float("inf"), 0.6))
+
+
+def weighted_ratio(a: str, b: str) -> float:
+    """The best of the plain, word-wise and, for texts of unlike length, partial ratios, each weighed."""
+    if not a or not b:
+        return 0.0
+    plain = indel_ratio(a, b)
+    longer = max(len(a), len(b)) / min(len(a), len(b))
+    if longer < PART_FROM:
+        return max(plain, WORD_WEIGHT * token_sort_ratio(a, b), WORD_WEIGHT * token_set_ratio(a, b))
+    part = next(w for bound, w in PART_WEIGHTS if longer < bound)
+    x, y = (" ".join(sorted(t.split())) for t in (a, b))
+    return max(plain, part * partial_ratio(a, b), WORD_WEIGHT * part * partial_ratio(x, y), WORD_WEIGHT * part * (100.0 if set(a.split()) & set(b.split()) else 0.0))
+
+
 def _vectorised(score):
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -110,5 +152,5 @@ def _vectorised(score):
 
 
 def fuzzy(name: str):
-    """The column function of a score: indel, token_set or partial."""
-    return _vectorised({"indel": indel_ratio, "token_set": token_set_ratio, "partial": partial_ratio}[name])
+    """The column function of a score: indel, token_set, token_sort, partial, weighted or sequence."""
+    return _vectorised({"indel": indel_ratio, "token_set": token_set_ratio, "token_sort": token_sort_ratio, "partial": partial_ratio, "weighted": weighted_ratio, "sequence": sequence_ratio}[name])

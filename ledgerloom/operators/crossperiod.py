@@ -48,3 +48,13 @@ def suspects(pairs: DataFrame, group: str, least: int = 20, outlier: float = 8.0
     shift = near_power_of_ten(F.col("relative"))
     size = F.pow(F.greatest(F.abs("old"), F.abs("new")), 0.25)
     return marked.withColumn("signature", F.when(shift, "decimal_shift").otherwise("outlier")).withColumn("priority", F.col("deviation") * F.when(shift, 2.0).otherwise(1.0) * (1 + size))
+
+
+#: How much likelier a suspect's new value is the wrong one, where the old one is verified: by whether the new one is, too.
+AGAINST_UNVERIFIED, AGAINST_VERIFIED = 4.0, 0.5
+
+
+def by_verification(suspects: DataFrame, old_verified: Column, new_verified: Column) -> DataFrame:
+    """Suspects with their priority weighed by verification: null counts as not verified, an unverified old value changes nothing."""
+    old, new = (F.coalesce(c, F.lit(False)) for c in (old_verified, new_verified))
+    return suspects.withColumn("priority", F.col("priority") * F.when(old & ~new, AGAINST_UNVERIFIED).when(old & new, AGAINST_VERIFIED).otherwise(1.0))

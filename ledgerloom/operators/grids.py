@@ -15,7 +15,7 @@ from ledgerloom.functions import years as Y
 
 #: What a folded header cell holds and the role it then has; the first that fits counts.
 HEADER_ROLES = (
-    ("name", r"denumire|indicator"), ("code", r"\bcod\b|cod indicator"), ("row_no", r"nr\.? ?(crt|rd|rand)"),
+    ("code", r"^\W*cod\b"), ("name", r"denumire|indicator"), ("code", r"\bcod\b|cod indicator"), ("row_no", r"nr\.? ?(crt|rd|rand)"),
     ("trim4", r"trim(estrul)?\.? ?(iv|4)\b"), ("trim3", r"trim(estrul)?\.? ?(iii|3)\b"), ("trim2", r"trim(estrul)?\.? ?(ii|2)\b"), ("trim1", r"trim(estrul)?\.? ?(i|1)\b"),
     ("credite_restante", r"credite|restante"), ("initial", r"initial"), ("est", r"estim"), ("total", r"total|prevederi|buget"),
 )
@@ -159,3 +159,56 @@ def split_rows_stitched(cells: DataFrame, key: str) -> DataFrame:
     before, at = F.lag("filled").over(by), F.lag("row").over(by)
     joins = (at == F.col("row") - 1) & (F.size("filled") > 0) & (F.size(before) > 0) & ~F.arrays_overlap("filled", before)
     return rows.withColumn("joined_to", F.when(joins, at)).where("joined_to is not null").select(key, "row", "joined_to")
+
+
+def _weighted(key_type: str):
+    def run(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        x, y = a.sort_values("at", kind="stable"), b.sort_values("at_", kind="stable")
+        p, q = x["tokens"].map(set).tolist(), y["tokens_"].map(set).tolist()
+        told = pd.DataFrame(columns=["key", "left_at", "right_at", "weight"])
+        if p and q:
+            weight = np.array([[len(s & t) for t in q] for s in p], dtype=np.int64)
+            best = np.zeros((len(p) + 1, len(q) + 1), dtype=np.int64)
+            for i in range(len(p) - 1, -1, -1):
+                match = best[i + 1, 1:] + weight[i]
+                row = np.maximum(best[i + 1, :-1], match)
+                # The best over all later columns of a row: a running maximum from the right.
+                best[i, :-1] = np.maximum.accumulate(row[::-1])[::-1]
+            i = j = 0
+            pairs = []
+            while i < len(p) and j < len(q):
+                if weight[i, j] and best[i, j] == best[i + 1, j + 1] + weight[i, j]:
+                    pairs.append((key[0], x["at"].iloc[i], y["at_"].iloc[j], weight[i, j]))
+                    i, j = i + 1, j + 1
+                elif best[i, j] == best[i + 1, j]:
+                    i += 1
+                else:
+                    j += 1
+            told = pd.DataFrame(pairs, columns=told.columns)
+        return told
+
+    return run
+
+
+def weighted_alignment(left: DataFrame, right: DataFrame, key: str, at: str, tokens: str) -> DataFrame:
+    """(key, left_at, right_at, weight): the order-keeping alignment of two sequences of rows that shares the most tokens.
+
+    tokens is an array of a row's words; a pair weighs how many it shares, pairs
+    that share none aren't told. A key's rows are those of a document: small by
+    nature. Null arrays are empty.
+    """
+    t = dict(left.dtypes)
+    a = left.select(F.col(key).alias("key"), F.col(at).alias("at"), F.coalesce(F.col(tokens), F.array().cast("array<string>")).alias("tokens"))
+    b = right.select(F.col(key).alias("key_"), F.col(at).alias("at_"), F.coalesce(F.col(tokens), F.array().cast("array<string>")).alias("tokens_"))
+    return a.groupBy("key").cogroup(b.groupBy("key_")).applyInPandas(_weighted(t[key]), f"key {t[key]}, left_at {t[at]}, right_at {dict(right.dtypes)[at]}, weight long")
+
+
+def wrapped_merged(cells: DataFrame, key: str) -> DataFrame:
+    """Cells with rows that only complete the row before put into it; chains of them into the first."""
+    joins = split_rows_stitched(cells, key)
+    rows = cells.select(key, "row").distinct().join(joins, [key, "row"], "left")
+    own = F.when(F.col("joined_to").isNull(), F.col("row"))
+    first = rows.select(key, "row", F.last(own, ignorenulls=True).over(W.partitionBy(key).orderBy("row")).alias("_first"))
+    moved = cells.join(first, [key, "row"]).where("cell is not null and cell != '' or row = _first").withColumnRenamed("row", "_row").withColumnRenamed("_first", "row")
+    filled = F.filter(F.transform(F.array_sort(F.collect_list(F.struct("_row", "cell"))), lambda x: x["cell"]), lambda c: c != "")
+    return moved.groupBy(key, "row", "col").agg(F.array_join(filled, " ").alias("cell"))

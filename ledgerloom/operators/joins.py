@@ -127,3 +127,20 @@ def agreeing_pairs(rows: DataFrame, keys: list[str], columns: list[str], order:
     own = F.element_at(F.array(*[F.array(*map(F.lit, chosen)) for chosen in combinations(range(len(columns)), least)]), F.col("place") + 1)
     equal = sum((F.when(same[c], 1).otherwise(0) for c in columns), F.lit(0))
     return met.where(first == own).select(*keys, order, "other", equal.cast("long").alias("equal"))
+
+
+def within_edits(names: DataFrame, name: str, edits: int = 2) -> DataFrame:
+    """(a, b): all pairs of different names at most `edits` edits apart, a before b.
+
+    A name is cut into edits + 1 parts; of two names so near one part at least is
+    whole in the other, at most `edits` places off. So names meet by equi-join on
+    (length, part, text), never all with all, and the distance decides.
+    """
+    n = names.where(F.col(name).isNotNull()).select(F.col(name).alias("a")).distinct().withColumn("_l", F.length("a"))
+    parts = edits + 1
+    start = lambda length, i: F.floor(length * i / parts).cast("int")
+    own = n.select("a", "_l", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring("a", start(F.col("_l"), i) + 1, start(F.col("_l"), i + 1) - start(F.col("_l"), i)).alias("t")) for i in range(parts)])).alias("k")).select("a", F.col("_l").alias("l"), "k.i", "k.t")
+    lengths = n.select(F.col("a").alias("b"), F.explode(F.sequence(F.greatest(F.col("_l") - edits, F.lit(0)), F.col("_l") + edits)).alias("l"))
+    asked = F.array(*[F.struct(F.lit(i).alias("i"), (start(F.col("l"), i) + off + 1).alias("at"), (start(F.col("l"), i + 1) - start(F.col("l"), i)).alias("size")) for i in range(parts) for off in range(-edits, edits + 1)])
+    probes = lengths.select("b", "l", F.explode(asked).alias("q")).where("q.at >= 1 or q.size = 0").select("b", "l", "q.i", F.substring("b", F.greatest("q.at", F.lit(1)), F.col("q.size")).alias("t")).distinct()
+    return own.join(probes, ["l", "i", "t"]).where("a < b").select("a", "b").distinct().where(F.levenshtein("a", "b") <= edits)

@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with a QUERIES dict (name to callable) and perhaps an SQL dict (name to text).
-MODULES = ("quality_queries", "quality_sql", "domain_queries", "analytics_queries", "window_queries", "join_queries", "rule_queries", "text_queries", "layout_queries", "stream_queries")
+MODULES = ("quality_queries", "quality_sql", "domain_queries", "analytics_queries", "window_queries", "join_queries", "rule_queries", "text_queries", "layout_queries", "staged_queries", "stream_queries")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
