@@ -85,6 +85,8 @@ def title_scores(spark, d):
 
 _FOLDED = "lower(strip_accents(text))"
 SQL = {
+    "name_slugs": r"""WITH n AS (SELECT DISTINCT name FROM facts WHERE name IS NOT NULL), c AS (SELECT name, regexp_replace(regexp_replace(name, '^\s*(\d{1,3}[.)]|[ivxIVX]{1,5}[.)]|[-–•*])\s+', ''), '\s+', ' ', 'g') AS bare FROM n)
+      SELECT name, regexp_replace(regexp_replace(lower(strip_accents(name)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug, left(trim(regexp_replace(bare, '[\s:;,.]+$', '')), 20) AS short FROM c""",
     "fold_text": f"""SELECT doc_id, CAST(length({_FOLDED}) AS BIGINT) AS chars, CAST(len(list_filter(regexp_split_to_array(coalesce({_FOLDED}, ''), '[^a-z]+'), lambda w: w <> '')) AS BIGINT) AS words FROM documents""",
     "ro_number": """SELECT o_orderkey, replace(replace(replace(format('{:,.2f}', CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE), ',', '_'), '.', ','), '_', '.') AS printed, true AS same FROM orders""",
     "indicator_code": """WITH p AS (SELECT p_partkey, CASE WHEN length(p_partkey::VARCHAR) > 6 THEN left(p_partkey::VARCHAR, 6) ELSE lpad(p_partkey::VARCHAR, 6, '0') END AS r FROM part)

@@ -112,6 +112,11 @@ _RUNS = f"""d AS (SELECT DISTINCT user_id, CAST({_DAY} AS BIGINT) AS day FROM ev
   r AS (SELECT user_id, day, day - row_number() OVER (PARTITION BY user_id ORDER BY day) AS run FROM d),
   i AS (SELECT user_id, min(day) AS first, max(day) AS last, count(*) AS length FROM r GROUP BY user_id, run)"""
 SQL = {
+    "greedy_plan": """WITH RECURSIVE c AS (SELECT user_id, event_id, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS cost, row_number() OVER (PARTITION BY user_id ORDER BY -length(event_type) / CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE), CAST(value AS DECIMAL(18,2)), event_id) AS k
+        FROM events WHERE CAST(value AS DECIMAL(18,2)) > 0 AND CAST(value AS DECIMAL(18,2)) <= 300),
+      g AS (SELECT user_id, k, event_id, cost AS spent, 1 AS used, true AS taken FROM c WHERE k = 1
+        UNION ALL SELECT c.user_id, c.k, c.event_id, CASE WHEN g.spent + c.cost <= 300 AND g.used < 20 THEN g.spent + c.cost ELSE g.spent END, CASE WHEN g.spent + c.cost <= 300 AND g.used < 20 THEN g.used + 1 ELSE g.used END, g.spent + c.cost <= 300 AND g.used < 20 FROM g JOIN c ON c.user_id = g.user_id AND c.k = g.k + 1)
+      SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY k) - 1 AS BIGINT) AS place, event_id FROM g WHERE taken""",
     "gap_islands": f"WITH {_RUNS} SELECT * FROM i",
     "compact_days": f"WITH {_RUNS} SELECT user_id, string_agg(CASE WHEN first = last THEN first::VARCHAR ELSE first || '-' || last END, ',' ORDER BY first) AS spec FROM i GROUP BY 1",
     "page_spec": """WITH m AS (SELECT l_orderkey, max(l_linenumber) AS last FROM lineitem GROUP BY 1), o AS (SELECT o_orderkey, left(o_orderpriority, 1) AS p, last FROM orders JOIN m ON l_orderkey = o_orderkey),
