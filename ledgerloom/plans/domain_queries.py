@@ -145,7 +145,12 @@ _E = f"""{_F}, e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY si
   m AS (SELECT edition, count(*) AS matched, median(ratio) AS med FROM p GROUP BY 1 HAVING count(*) >= 20)"""
 _DEV = "CASE WHEN rel > 0 THEN greatest(rel, 1 / rel) ELSE 0 END"
 _SHIFT = "least(abs(rel / 0.001 - 1), abs(rel / 0.01 - 1), abs(rel / 0.1 - 1), abs(rel / 10 - 1), abs(rel / 100 - 1), abs(rel / 1000 - 1)) <= 0.02"
+_NUMBER = lambda c: f"""CASE WHEN regexp_full_match({c}, '-?[0-9]+([.][0-9]*)?|-?[.][0-9]+') THEN TRY_CAST({c} AS DECIMAL(38,6)) END"""
+_READ = lambda c: f"""(SELECT CASE WHEN contains(t, ',') THEN replace(replace(t, '.', ''), ',', '.') ELSE t END FROM (SELECT CASE WHEN regexp_full_match(u, '[(].*[)]') THEN '-' || regexp_replace(u, '[()]', '', 'g') ELSE u END AS t FROM (SELECT regexp_replace(regexp_replace({c}, '[\\s\\x{{00A0}}\\x{{2000}}-\\x{{200B}}\\x{{202F}}]', '', 'g'), '[−–]', '-', 'g') AS u)))"""
 SQL = {
+    "reading_scores": f"""WITH a AS (SELECT value_id, {_READ("regexp_extract(printed, '[(]?[-−]?[0-9][0-9.,\\s\\x{00A0}\\x{202F}]*[0-9][)]?|[-−]?[0-9]')")} AS x FROM annotation_values WHERE normalized_mii_lei IS NOT NULL), t AS (SELECT value_id, {_NUMBER('x')} AS truth FROM a),
+      r AS (SELECT value_id, role, {_READ('value')} AS x FROM cell_readings WHERE value IS NOT NULL), s AS (SELECT value_id, role, {_NUMBER('x')} AS seen FROM r)
+      SELECT role, count(*) AS readings, count(*) FILTER (seen = truth) AS equal, round(100 * count(*) FILTER (seen = truth) / count(*), 2) AS share FROM s JOIN t USING (value_id) WHERE truth IS NOT NULL AND seen IS NOT NULL GROUP BY 1""",
     "edition_lines": f"WITH {_E} SELECT siruta, suffix, section, kind, code, func_code, column_name, year, fact_id, value FROM e",
     "crossyear_suspects": f"""WITH {_E}, s AS (SELECT p.*, ratio / med AS rel FROM p JOIN m USING (edition) WHERE med <> 0)
       SELECT edition, code, func_code, column_name, suffix, section, kind, round(log10(rel), 9) AS magnitude, CASE WHEN {_SHIFT} THEN 'decimal_shift' ELSE 'outlier' END AS signature,

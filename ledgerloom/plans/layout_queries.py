@@ -45,6 +45,10 @@ def aligned_priorities(spark, d):
 
 
 SQL = {
+    "grid_sizes": r"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r\n|\r|\n')) AS line, generate_subscripts(string_split_regex(text, '\r\n|\r|\n'), 1) AS r FROM documents WHERE text IS NOT NULL),
+      b AS (SELECT doc_id, r, string_split_regex(regexp_replace(trim(line), '^[|¦]\s*|\s*[|¦]$', '', 'g'), '\s*[\t|¦;]\s*|\s{3,}') AS parts FROM l), c AS (SELECT doc_id, r, generate_subscripts(parts, 1) AS k, trim(unnest(parts)) AS cell FROM b WHERE len(parts) >= 3),
+      m AS (SELECT doc_id, max(r) AS last_r, max(k) AS last_k FROM c WHERE cell <> '' GROUP BY 1), s AS (SELECT doc_id, count(DISTINCT r) AS n, count(DISTINCT k) AS m, count(*) FILTER (cell <> '') AS filled FROM c JOIN m USING (doc_id) WHERE r <= last_r AND k <= last_k GROUP BY 1)
+      SELECT doc_id, n AS rows, m AS cols, filled, false AS turned FROM s UNION ALL SELECT doc_id, m, n, filled, true FROM s""",
     "zipped_columns": """WITH p AS (SELECT review_id, max_by(columns, revision) AS columns FROM page_reviews GROUP BY 1), u AS (SELECT review_id, unnest(columns) AS column_name, generate_subscripts(columns, 1) - 1 AS place FROM p)
       SELECT review_id, CAST(place AS BIGINT) AS place, column_name, CASE WHEN column_name LIKE 'trim%' THEN column_name[5:5] END AS quarter FROM u""",
 }
