@@ -23,7 +23,7 @@ def p2_table(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_lifespans(spark: SparkSession, d: str) -> DataFrame:
     """The catalogue of field lifespans."""
-    return drift.lifespans(drift.catalogue(drift.fields_of(table(spark, d, "raw_payloads")))).select("file_kind", "feed", "field", "type", "first_seq", "last_seq")
+    return drift.lifespans(drift.catalogue(drift.fields_of(table(spark, d, "raw_payloads")))).select("file_kind", "feed", "field", "type", F.col("first_seq").cast("long").alias("first_seq"), F.col("last_seq").cast("long").alias("last_seq"))
 
 
 def p2_casts(spark: SparkSession, d: str) -> DataFrame:
@@ -139,6 +139,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return values.select(F.lit("value").alias("record_kind"), F.col("value_id").cast("string").alias("record_key")).unionByName(editions.select(F.lit("edition").alias("record_kind"), F.col("source").alias("record_key")))
 
 
+def p5_values(spark: SparkSession, d: str) -> DataFrame:
+    """The values of p5_found."""
+    return value_cases(harmonised_values(spark, d)).select("value_id")
+
+
 def p5_editions(spark: SparkSession, d: str) -> DataFrame:
     """Every edition with amounts: the power of ten it is off its city's scale, or `unjudged` where too few lines link it."""
     held = edition_amounts(spark, d).groupBy("siruta", F.col("year").cast("long").alias("year")).agg(F.count(F.lit(1)).alias("amounts"))
@@ -176,4 +181,4 @@ def p6_reasons(spark: SparkSession, d: str) -> DataFrame:
     return spikes.abnormal(line_changes(spark, d)).select(F.col("reading_id").alias("pair_id"), "source", "reason", F.round("innovation", 3).alias("innovation"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_lifespans, p2_casts, p4_found, p4_values, p5_found, p5_editions, p5_amounts, p6_found, p6_reasons)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_table, p2_lifespans, p2_casts, p4_found, p4_values, p5_found, p5_values, p5_editions, p5_amounts, p6_found, p6_reasons)}
