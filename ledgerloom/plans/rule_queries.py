@@ -32,8 +32,11 @@ TERMS = (("all_flags", "T", 1, True), ("all_flags", "A", 1, False), ("all_flags"
 
 def identity_breach(spark, d):
     """Signed sums over flags and states of each supplier and year, where all their terms occur."""
-    l = table(spark, d, "lineitem").select("l_suppkey", F.year("l_shipdate").cast("long").alias("year"), F.col("l_extendedprice").cast(DEC).alias("v"), F.explode(F.array("l_returnflag", "l_linestatus", F.lit("T"))).alias("code"))
-    values = l.groupBy("l_suppkey", "year", "code").agg(F.sum("v").cast(WIDE).alias("value"))
+    l = table(spark, d, "lineitem").select("l_suppkey", F.year("l_shipdate").cast("long").alias("year"), F.col("l_extendedprice").cast(DEC).alias("v"), "l_returnflag", "l_linestatus")
+    # Summed once, then the few sums of a supplier's year are listed under each of their codes.
+    sums = l.groupBy("l_suppkey", "year", "l_returnflag", "l_linestatus").agg(F.sum("v").alias("v"))
+    listed = sums.select("l_suppkey", "year", "v", F.explode(F.array("l_returnflag", "l_linestatus", F.lit("T"))).alias("code"))
+    values = listed.groupBy("l_suppkey", "year", "code").agg(F.sum("v").cast(WIDE).alias("value"))
     terms = spark.createDataFrame(list(TERMS), "identity string, code string, coeff int, is_target boolean")
     found = R.identities(values, terms, ["l_suppkey", "year"])
     return found.select("l_suppkey", "year", "identity", F.col("difference").cast(WIDE).alias("difference"), "holds")
