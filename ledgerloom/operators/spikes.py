@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ledgerloom.operators.joins import small
 from ledgerloom.session import cut
@@ -19,6 +20,8 @@ DRIFTS = (0.0, 0.001, 0.01, 0.1, 1.0)
 DRIFT_COST = 2.0
 #: The variance of a median of n readings is this share of r / n.
 MEDIAN_LOSS = 1.5708
+#: A source's readings one after another; what it leaves open are equal rows.
+ORDER = ("at", "reading_id", "y", "delta")
 
 
 def _filtered(steps: Column, drift: Column, threshold: float) -> Column:
@@ -80,18 +83,19 @@ def innovations(changes: DataFrame, threshold: float = 7.0, drifts: tuple[float,
     (a forward and a backward filter), so it never vouches for itself. The
     standard deviation is that of the source's own innovations, by their median,
     drawn towards the typical one by `prior_rows` readings' worth. Tables of a
-    row per source are sent to the readings where counted small. chunk cuts a
-    source's shares in time order into parts of about `chunk_rows` (`frozen`).
+    row per source are sent to the readings where counted small. chunk divides
+    the work of `frozen`, not its result: 0 throughout a source of `chunk_rows`
+    or less, else parts of about so many readings that follow one another in time.
     """
     moving = F.when(F.col("delta") != 0, F.col("y"))
     at = F.coalesce(F.unix_micros(F.col("at").cast("timestamp")), F.lit(0))
     shares = F.array(*[F.lit(i / STEPS) for i in range(1, STEPS)])
     level = cut(changes.groupBy("source").agg(F.percentile_approx(moving, 0.5, 10000).alias("level"), F.percentile_approx(at, shares, 2000).alias("bounds"), F.avg((F.col("delta") == 0).cast("double")).alias("still"), F.count(F.lit(1)).alias("all"), F.min(at).alias("first"), F.max(at).alias("last")))
     b = F.size(F.filter("bounds", lambda t: t < at))
-    # Chunks of about chunk_rows within a share, in time order; small sources are one chunk, so their shares' borders cut nothing.
+    # Chunks of about chunk_rows within a share, in time order, null times first as `frozen` sorts them.
     low, high = F.coalesce(F.get("bounds", F.col("b") - 1), F.col("first")), F.coalesce(F.get("bounds", F.col("b")), F.col("last"))
     place = (at - low) / F.greatest(high - low + 1, F.lit(1)) * F.ceil(F.col("all") / STEPS / chunk_rows)
-    chunk = F.when(F.col("all") <= chunk_rows, F.lit(0)).otherwise(F.col("b") * 1_000_000 + F.greatest(F.floor(place), F.lit(0)))
+    chunk = F.when(F.col("all") <= chunk_rows, F.lit(0)).when(F.col("at").isNull(), F.lit(1)).otherwise(F.col("b") * 1_000_000 + F.greatest(F.floor(place), F.lit(0)) + 2)
     placed = changes.join(small(level), "source").withColumn("b", b).withColumn("chunk", chunk.cast("long")).withColumn("level", F.coalesce("level", F.lit(0.0))).withColumn("moves", F.col("still") < still_share)
     placed = cut(placed.select("reading_id", "source", "at", "y", "delta", "level", "moves", "b", "chunk"))
     apart = placed.groupBy("source").agg(F.count(moving).alias("moving"), F.percentile_approx(F.abs(moving - F.col("level")), 0.5, 10000).alias("mad"))
@@ -113,19 +117,34 @@ def innovations(changes: DataFrame, threshold: float = 7.0, drifts: tuple[float,
     return met.join(small(sigma), "source").select("reading_id", "source", "at", "y", "delta", "moves", "drift", "chunk", "sigma", (F.col("e") / F.col("sigma")).alias("innovation"))
 
 
-def frozen(told: DataFrame, run: int = 8, vanishing: float = 1e-3) -> DataFrame:
+def _still(by: WindowSpec, run: int, vanishing: float) -> Column:
+    last = by.rowsBetween(1 - run, 0)
+    return (F.count(F.lit(1)).over(last) == run) & (F.stddev_pop(F.col("y") / F.col("sigma")).over(last) < vanishing)
+
+
+def frozen(told: DataFrame, run: int = 8, vanishing: float = 1e-3, wanted: Column | None = None) -> DataFrame:
     """Adds `frozen`: the reading lies in `run` readings of its source, one after another, whose innovations don't vary.
 
     Against a forecast held still over the run, their standard deviation is
     under `vanishing` of the source's (sigma). Runs are looked for within the
-    chunks of `innovations`, so that no task sorts a whole hot source: a run of
-    2 * `run` - 1 readings is always found, a shorter one unless a chunk's
-    border cuts it.
+    chunks of `innovations`, so that no task sorts a whole hot source, and once
+    more among the outermost `run` - 1 readings of each chunk of a source with
+    several: a run across a border, or across many, lies in these alone. Only
+    rows that are frozen or `wanted` (all, if not given) need be in the result.
     """
-    by = W.partitionBy("source", "chunk").orderBy("at", "reading_id")
-    last = by.rowsBetween(1 - run, 0)
-    still = (F.count(F.lit(1)).over(last) == run) & (F.stddev_pop(F.col("y") / F.col("sigma")).over(last) < vanishing)
-    return told.withColumn("_ends", still.cast("int")).withColumn("frozen", F.max("_ends").over(by.rowsBetween(0, run - 1)) == 1).drop("_ends")
+    by = W.partitionBy("source", "chunk").orderBy(*ORDER)
+    ends = F.max("_ends").over(by.rowsBetween(0, run - 1)) == 1
+    k = F.row_number().over(by)
+    outer = (F.col("chunk") > 0) & ((k < run) | F.lead("source", run - 1).over(by).isNull())
+    # Past this reading come some of its chunk that aren't among the outermost.
+    parts = (k == run - 1) & F.lead("source", run).over(by).isNotNull()
+    within = told.withColumn("_ends", _still(by, run, vanishing).cast("int")).withColumns({"frozen": ends, "_outer": outer, "_parts": parts})
+    within = cut(within.where(F.coalesce(F.lit(True) if wanted is None else wanted, F.lit(False)) | F.col("frozen") | F.col("_outer")).drop("_ends"))
+    on = W.partitionBy("source").orderBy(*ORDER)
+    whole = ~F.coalesce(F.max("_parts").over(on.rowsBetween(1 - run, -1)), F.lit(False))
+    across = within.where("_outer").withColumn("_ends", (whole & _still(on, run, vanishing)).cast("int"))
+    across = across.withColumn("frozen", F.col("frozen") | (F.max("_ends").over(on.rowsBetween(0, run - 1)) == 1)).drop("_ends")
+    return within.where("not _outer").unionByName(across).drop("_outer", "_parts")
 
 
 def abnormal(readings: DataFrame, threshold: float = 7.0, drifts: tuple[float, ...] = DRIFTS, run: int = 8, magnitude_sigmas: float = 10.0) -> DataFrame:
@@ -164,8 +183,8 @@ def abnormal(readings: DataFrame, threshold: float = 7.0, drifts: tuple[float, .
     ratio = F.log10(F.greatest(F.abs("n"), F.lit(1e-6)) / F.greatest(F.abs("o"), F.lit(1e-6)))
     judged = rows.withColumn("bound", bound.scalar()).withColumn("impossible", (size > F.col("bound")) | (~F.col("signed") & ((F.col("o") < 0) | (F.col("n") < 0)))).withColumn("y", ratio)
     judged = cut(judged.select("reading_id", "source", "at", "y", "delta", "impossible"))
-    told = frozen(innovations(judged.where("not impossible"), threshold, drifts), run)
-    stuck = F.col("moves") & ((F.col("delta") == 0) | F.col("frozen"))
-    reason = F.when(stuck, "stuck").when(F.abs("innovation") > threshold, "spike")
+    same, far = F.col("delta") == 0, F.abs("innovation") > threshold
+    told = frozen(innovations(judged.where("not impossible"), threshold, drifts).drop("drift"), run, wanted=(F.col("moves") & same) | far)
+    reason = F.when(F.col("moves") & (same | F.col("frozen")), "stuck").when(far, "spike")
     out = told.withColumn("reason", reason).where("reason is not null").select("reading_id", "source", "reason", "innovation")
     return out.unionByName(judged.where("impossible").select("reading_id", "source", F.lit("impossible").alias("reason"), F.lit(None).cast("double").alias("innovation")))

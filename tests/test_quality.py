@@ -172,6 +172,21 @@ def test_frozen_runs_have_no_innovation_variance(spark):
     assert found <= set(range(60, 90)) and len(found) >= 15
 
 
+def test_runs_are_found_alike_whatever_the_size(spark):
+    rng = np.random.default_rng(7)
+    held = {i for i in range(600) if i // 8 % 3 == 1}
+    # Null times first, then two readings of each time, the earliest before 1970; one row thrice, a run of seven at the end.
+    rows = [(i, "s", None if i < 20 else T0 + timedelta(days=40 * (i // 2 - 600)), 1.0 if i in held else 2.0 if i >= 600 else float(rng.normal(0, 0.5)), 1.0) for i in range(607)]
+    some = spark.createDataFrame(rows + [rows[250]] * 2, "reading_id long, source string, at timestamp, y double, delta double")
+    for chunk_rows in (10**6, 40, 1):
+        got = sorted(r.reading_id for r in spikes.frozen(spikes.innovations(some, chunk_rows=chunk_rows)).where("frozen").collect())
+        assert got == sorted([*held, 250, 250]), chunk_rows
+    # By its default too: each run of eight of a source over the rows of one chunk.
+    many = [("s", Decimal(200), Decimal("210") if i // 8 % 3 == 1 else Decimal(str(round(200 * 10 ** rng.normal(0.02, 0.02), 4))), False) for i in range(4800)]
+    got = {r.reading_id for r in spikes.abnormal(readings(spark, many)).where("reason = 'stuck'").collect()}
+    assert got == {i for i in range(4800) if i // 8 % 3 == 1}
+
+
 def test_repeated_null_times_and_extra_columns(spark):
     rows = readings(spark, [("s", Decimal(100), Decimal(100 + i % 7), False) for i in range(40)])
     both = rows.withColumn("at", F.when(F.col("reading_id") % 2 == 0, F.col("at"))).withColumn("innovation", F.lit("x")).withColumn("b", F.lit(1))
